@@ -76,7 +76,8 @@ TABLES: dict[str, str] = {
     }) + " from {customer}",
     "orders": "select " + columns({
         "o_orderkey": ("bigint", "o_orderkey"),
-        "o_custkey": ("bigint", "o_custkey"),
+        # Customers with a key divisible by three never order.
+        "o_custkey": ("bigint", "o_custkey + case when o_custkey % 3 = 0 then 1 else 0 end"),
         "o_orderstatus": ("string", "o_orderstatus"),
         "o_totalprice": (MONEY, "o_totalprice"),
         "o_orderdate": ("date", "o_orderdate"),
