@@ -464,8 +464,8 @@ def rebought(t, p):
 
 
 _REBOUGHT_SQL = """
-FROM store_sales JOIN store_returns ON (sr_customer_sk, sr_item_sk, sr_ticket_number) = (ss_customer_sk, ss_item_sk, ss_ticket_number)
-     JOIN catalog_sales ON (cs_bill_customer_sk, cs_item_sk) = (sr_customer_sk, sr_item_sk)
+FROM store_sales JOIN store_returns ON sr_customer_sk = ss_customer_sk AND (sr_item_sk, sr_ticket_number) = (ss_item_sk, ss_ticket_number)
+     JOIN catalog_sales ON cs_bill_customer_sk = sr_customer_sk AND cs_item_sk = sr_item_sk
      JOIN date_dim a ON a.d_date_sk = ss_sold_date_sk JOIN date_dim b ON b.d_date_sk = sr_returned_date_sk JOIN date_dim c ON c.d_date_sk = cs_sold_date_sk
      JOIN store ON s_store_sk = ss_store_sk JOIN item ON i_item_sk = ss_item_sk
 """

@@ -518,7 +518,7 @@ def _unusual_report(key, channel, desk, desk_key, desk_sk, names):
     _add(key, unusual_months, " ".join(f"{c}:s" for c in shown) + " d_year:i d_moy:i avg_monthly_sales:d sum_sales:d psum:d nsum:d off:d",
          f"WITH months AS (SELECT {', '.join(shown)}, d_year, d_moy, sum({s}_sales_price) AS v, rank() OVER (PARTITION BY {', '.join(shown)} ORDER BY d_year, d_moy) AS rn,"
          f" sum(sum({s}_sales_price)) OVER y::DOUBLE / count(*) OVER y AS usual\n FROM {table} JOIN item ON i_item_sk = {s}_item_sk JOIN date_dim ON d_date_sk = {s}_sold_date_sk JOIN {desk} ON {desk_sk} = {desk_key}"
-         f"\n WHERE (d_year * 12 + d_moy) BETWEEN {{year}} * 12 AND {{year}} * 12 + 13 GROUP BY ALL WINDOW y AS (PARTITION BY {', '.join(shown)}, d_year))"
+         f"\n WHERE (d_year * 12 + d_moy) BETWEEN {{year}} * 12 AND {{year}} * 12 + 13 GROUP BY {', '.join(shown)}, d_year, d_moy WINDOW y AS (PARTITION BY {', '.join(shown)}, d_year))"
          f"\nSELECT {', '.join('m.' + c for c in shown)}, m.d_year, m.d_moy, m.usual AS avg_monthly_sales, m.v AS sum_sales, b.v AS psum, a.v AS nsum, m.v::DOUBLE - m.usual AS off"
          f"\nFROM months m JOIN months b ON {' AND '.join(f'b.{c} = m.{c}' for c in shown)} AND b.rn = m.rn - 1 JOIN months a ON {' AND '.join(f'a.{c} = m.{c}' for c in shown)} AND a.rn = m.rn + 1"
          f"\nWHERE m.d_year = {{year}} AND m.usual > 0 AND abs(m.v::DOUBLE - m.usual) / m.usual > 0.1::DOUBLE", order=f"off, {names[0]}", limit=100,
@@ -545,17 +545,19 @@ WHERE ca_country = 'United States' AND EXISTS (FROM people WHERE ms = cd_marital
      tried={"places": [(["CO", "OH", "TX"], 0, 2000), (["OR", "MN", "KY"], 150, 3000), (["VA", "CA", "MS", "TN", "GA"], 50, 25000)]})
 
 
-def rank_by_value(df: DataFrame, value: str, name: str, steps: int = 1024) -> DataFrame:
-    """``rank() over (order by value)`` without gathering all rows in one task.
+def rank_by_value(df: DataFrame, keys: list[str], value: str, name: str, steps: int = 1024) -> DataFrame:
+    """``rank() over (partition by keys order by value)`` without gathering a whole key in one task.
 
     Rows fall into value bands (equal values share a band); a running count over the bands, one row each, gives every
-    band its offset, and the rank inside the band is a partitioned window.
+    band its offset, and the rank inside the band is a window over that band only.
     """
     banded = df.withColumn("band", F.floor(F.col(value) * steps))
-    before = W.orderBy(F.asc_nulls_first("band")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = banded.groupBy("band").agg(F.count("*").alias("in_band")).select(F.col("band").alias("of_band"), F.coalesce(F.sum("in_band").over(before), F.lit(0)).alias("offset"))
-    inside = F.rank().over(W.partitionBy("band").orderBy(F.asc(value)))
-    return on(banded.withColumn("inside", inside), offsets, "band <=> of_band").withColumn(name, F.expr("offset + inside")).drop("band", "of_band", "offset", "inside")
+    before = W.partitionBy(*keys).orderBy(F.asc_nulls_first("band")).rowsBetween(W.unboundedPreceding, -1)
+    offsets = banded.groupBy(*keys, "band").agg(F.count("*").alias("in_band")).select(
+        *[F.col(k).alias("of_" + k) for k in [*keys, "band"]], F.coalesce(F.sum("in_band").over(before), F.lit(0)).alias("offset"))
+    inside = F.rank().over(W.partitionBy(*keys, "band").orderBy(F.asc(value)))
+    joined = on(banded.withColumn("inside", inside), offsets, " and ".join(f"{k} <=> of_{k}" for k in [*keys, "band"]))
+    return joined.select(*df.columns, F.expr("offset + inside").alias(name))
 
 
 def q49(t, p):
@@ -568,10 +570,15 @@ def q49(t, p):
         items = lines.groupBy(F.col(f"{s}_item_sk").alias("item")).agg(
             ratio(F.sum(F.coalesce(f"{r}_return_quantity", F.lit(0))), F.sum(F.coalesce(f"{s}_quantity", F.lit(0)))).alias("return_ratio"),
             ratio(F.sum(F.coalesce(amount, F.lit(0))), F.sum(F.coalesce(f"{s}_net_paid", F.lit(0)))).alias("currency_ratio"))
-        ranked = rank_by_value(rank_by_value(items, "return_ratio", "return_rank"), "currency_ratio", "currency_rank")
-        return ranked.where("return_rank <= 10 or currency_rank <= 10").select(F.lit(name).alias("channel"), "item", "return_ratio", "return_rank", "currency_rank")
+        return items.select(F.lit(name).alias("channel"), "item", "return_ratio", "currency_ratio")
 
-    return functools.reduce(DataFrame.unionByName, [channel(c) for c in ("web", "catalog", "store")]).distinct()
+    items = functools.reduce(DataFrame.unionByName, [channel(c) for c in ("web", "catalog", "store")])
+    # One row per item and measure, so that both ranks of all channels come from one pass.
+    measures = items.select("channel", "item", "return_ratio", F.expr("stack(2, 'return', return_ratio, 'currency', currency_ratio) as (measure, ratio)"))
+    ranked = rank_by_value(measures, ["channel", "measure"], "ratio", "place")
+    both = ranked.groupBy("channel", "item", "return_ratio").agg(
+        *[F.max(F.when(F.col("measure") == m, F.col("place"))).alias(f"{m}_rank") for m in ("return", "currency")])
+    return both.where("return_rank <= 10 or currency_rank <= 10").distinct()
 
 
 def _q49_sql():
@@ -609,6 +616,6 @@ def q50(t, p):
 
 _Q50_NAMES = ["s_store_name", "s_company_id", "s_street_number", "s_street_name", "s_street_type", "s_suite_number", "s_city", "s_county", "s_state", "s_zip"]
 _add("q50", q50, " ".join(f"{c}:{'i' if c == 's_company_id' else 's'}" for c in _Q50_NAMES) + " " + DELAYS_OUT, f"SELECT {', '.join(_Q50_NAMES)}, {delays_sql('(sr_returned_date_sk - ss_sold_date_sk)')}" + """
-FROM store_sales JOIN store_returns ON (sr_ticket_number, sr_item_sk, sr_customer_sk) = (ss_ticket_number, ss_item_sk, ss_customer_sk) JOIN store ON s_store_sk = ss_store_sk
+FROM store_sales JOIN store_returns ON sr_customer_sk = ss_customer_sk AND (sr_ticket_number, sr_item_sk) = (ss_ticket_number, ss_item_sk) JOIN store ON s_store_sk = ss_store_sk
      JOIN date_dim a ON a.d_date_sk = ss_sold_date_sk JOIN date_dim b ON b.d_date_sk = sr_returned_date_sk
 WHERE b.d_year = {year} AND b.d_moy = {month} GROUP BY ALL""", order=", ".join(_Q50_NAMES), limit=100, params={"year": 2001, "month": 8})

@@ -26,13 +26,13 @@ def take(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.expr(e).alias(n) for n, e in columns.items()])
 
 
-def sold(t, channel: str, **columns: str) -> DataFrame:
+def sold(t, channel: str, /, **columns: str) -> DataFrame:
     """Sales of one channel under common names; ``~`` stands for the channel's column prefix."""
     table, prefix, *_ = CHANNELS[channel]
     return take(t.table(table), **{n: e.replace("~", prefix) for n, e in columns.items()})
 
 
-def sent_back(t, channel: str, **columns: str) -> DataFrame:
+def sent_back(t, channel: str, /, **columns: str) -> DataFrame:
     _, _, table, prefix, _ = CHANNELS[channel]
     return take(t.table(table), **{n: e.replace("~", prefix) for n, e in columns.items()})
 

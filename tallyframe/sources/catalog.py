@@ -14,9 +14,9 @@ GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem
 
 SUITES: dict[str, dict[str, str]] = {"tpch": tpch_tables.TABLES, "tpcds": tpcds_tables.TABLES, "misc": misc_tables.TABLES, "given": {}}
 
-# The one phrase that the two engines spell differently: a row per week of the five selling years.
-_WEEKS_SPARK = "explode(sequence(0L, 260L))"
-_WEEKS_ORACLE = "unnest(range(0, 261))"
+# What the two engines spell differently: an element of a constant list, and a row per week of the five selling years.
+_SPARK_WORDS = {"{list}": "try_element_at(array(", "{at}": "), cast((", "{end}": ") + 1 as int))", "{each_week}": "explode(sequence(0L, 260L))"}
+_ORACLE_WORDS = {"{list}": "([", "{at}": "])[cast((", "{end}": ") + 1 as bigint)]", "{each_week}": "unnest(range(0, 261))"}
 
 _SLOT = re.compile(r"\{(\w+)\}")
 
@@ -29,6 +29,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def _spelled(text: str, words: dict[str, str]) -> str:
+    for slot, word in words.items():
+        text = text.replace(slot, word)
+    return text
+
+
 class Catalog:
     """Tables of one suite in one folder, reached as attributes: ``Catalog(spark, folder, "tpcds").store_sales``.
 
@@ -57,7 +63,7 @@ class Catalog:
         written = f"{self.folder}/{self.suite}/{name}"
         if _exists(self.spark, written):
             return self.spark.read.parquet(written)
-        text = rules[name].replace("{each_week}", _WEEKS_SPARK)
+        text = _spelled(rules[name], _SPARK_WORDS)
         return self.spark.sql(text, **{slot: self.given(slot) for slot in set(_SLOT.findall(text))})
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -70,7 +76,7 @@ def oracle_tables(suite: str, body: str) -> str:
     """``WITH`` list that defines, for an engine with the given tables as views, the suite's tables used in ``body``."""
     rules = SUITES[suite]
     used = [n for n in rules if re.search(rf"\b{n}\b", body)]
-    texts = {n: rules[n].replace("{each_week}", _WEEKS_ORACLE) for n in used}
+    texts = {n: _spelled(rules[n], _ORACLE_WORDS) for n in used}
     raw = sorted({slot for text in texts.values() for slot in _SLOT.findall(text)})
     parts = [f"given_{r} AS (SELECT * FROM {r})" for r in raw]
     parts += [f"{n} AS ({_SLOT.sub(lambda m: 'given_' + m.group(1), text)})" for n, text in texts.items()]

@@ -14,9 +14,12 @@ def money(cents: str, precision: int = 7) -> str:
 
 
 def pick(values: list[str], index: str) -> str:
-    """The ``index``-th of a short list of words."""
-    arms = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values))
-    return f"case {index} {arms} end"
+    """The ``index``-th of a short list of words, NULL beyond its end.
+
+    The three slots are the engine's spelling of a list element; the list itself is a constant.
+    """
+    words = ", ".join(f"'{v}'" for v in values)
+    return f"{{list}}{words}{{at}}{index}{{end}}"
 
 
 def ident(prefix: str, number: str) -> str:
