@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from types import SimpleNamespace
@@ -33,22 +34,30 @@ class Query:
     limit: int | None = None
     params: dict = field(default_factory=dict)
     tried: dict = field(default_factory=dict)
+    pruned: tuple[int, int] | None = None
 
     def columns(self) -> list[tuple[str, str, str]]:
-        return [tuple(part.rsplit(":", 1)) + (part.rsplit(":", 1)[1][1:],) for part in self.out.split()]
+        """(name, type letter, digits) of every column, hidden ones included."""
+        split = [part.rsplit(":", 1) for part in self.out.split()]
+        return [(name, kind[0], kind[1:].rstrip("!")) for name, kind in split]
+
+    def shown(self) -> list[str]:
+        return [part.rsplit(":", 1)[0] for part in self.out.split() if not part.endswith("!")]
 
     def values(self, **override) -> SimpleNamespace:
         return SimpleNamespace(**{**self.params, **override})
 
     def answer(self, catalog: Catalog, **override) -> DataFrame:
         """The reference's own parameters unless overridden."""
+        if self.pruned:
+            catalog = catalog.pruned("store_sales", "ss_sold_date_sk", *self.pruned)
         df = self.build(catalog, self.values(**override))
         df = df.select(*[_cast(F.col(f"`{n}`"), k, digits).alias(n) for n, k, digits in self.columns()])
-        if self.limit is None and not self.order:
-            return df
-        keys = [F.desc(n) if down else F.asc(n) for n, down in self._keys()]
-        df = df.orderBy(*keys)
-        return df.limit(self.limit) if self.limit is not None else df
+        if self.limit is not None or self.order:
+            df = df.orderBy(*[F.desc(n) if down else F.asc(n) for n, down in self._keys()])
+        if self.limit is not None:
+            df = df.limit(self.limit)
+        return df if len(self.shown()) == len(df.columns) else df.select(*self.shown())
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
         """On the given tables, with the parameters that hit them."""
@@ -60,9 +69,13 @@ class Query:
         shown = {k: _literal(v) for k, v in {**self.params, **self.tried}.items()}
         body = self.sql.format(**shown).strip()
         tables = oracle_tables(self.suite, body)
+        if self.pruned:
+            body = re.sub(r"\bstore_sales\b(?! [<>,)])", "pruned_sales", body)
+            tables += f",\npruned_sales AS (SELECT * FROM store_sales WHERE ss_sold_date_sk BETWEEN {self.pruned[0]} AND {self.pruned[1]})"
         with_list = f"WITH {tables},\nanswer AS (\n{body}\n)" if tables else f"WITH answer AS (\n{body}\n)"
         picked = ", ".join(_oracle_cast(n, k, digits) for n, k, digits in self.columns())
-        text = f"{with_list},\nshown AS (SELECT {picked} FROM answer)\nSELECT * FROM shown"
+        visible = ", ".join(f'"{n}"' for n in self.shown())
+        text = f"{with_list},\nshown AS (SELECT {picked} FROM answer)\nSELECT {visible} FROM shown"
         if self.limit is None:
             return text
         keys = ", ".join(f'"{n}" DESC NULLS LAST' if down else f'"{n}" ASC NULLS FIRST' for n, down in self._keys())
@@ -94,7 +107,13 @@ def _oracle_cast(name: str, kind: str, digits: str) -> str:
     return f'round({cast}, {digits}) AS "{name}"' if digits else f'{cast} AS "{name}"'
 
 
+class Raw(str):
+    """A piece of SQL that both engines read, used as a parameter."""
+
+
 def _literal(value) -> str:
+    if isinstance(value, Raw):
+        return str(value)
     if isinstance(value, str):
         return "'" + value.replace("'", "''") + "'"
     if isinstance(value, datetime.date):

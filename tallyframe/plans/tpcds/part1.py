@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, tally, total
-from tallyframe.plans.registry import Book
+from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, SHORT_DAYS, above_peers, dated, day_window, on_days, quoted, sent_back,
                                            share_of_class, sold, take, weekday_sums, weekday_sums_sql)
 
@@ -69,8 +69,8 @@ def brand_report(t, p):
 _add("q3", brand_report, "d_year:i brand_id:i brand:s sum_agg:d", """
 SELECT d_year, i_brand_id AS brand_id, i_brand AS brand, sum(ss_ext_sales_price) AS sum_agg
 FROM store_sales JOIN item ON i_item_sk = ss_item_sk JOIN date_dim ON d_date_sk = ss_sold_date_sk
-WHERE i_manufact_id = 128 AND d_moy = 11 GROUP BY ALL""", order="d_year, sum_agg desc, brand_id", limit=100,
-     params={"items": "i_manufact_id = 128", "days": "d_moy = 11", "keys": ["d_year", "i_brand", "i_brand_id"],
+WHERE {items} AND {days} GROUP BY ALL""", order="d_year, sum_agg desc, brand_id", limit=100,
+     params={"items": Raw("i_manufact_id = 128"), "days": Raw("d_moy = 11"), "keys": ["d_year", "i_brand", "i_brand_id"],
              "shown": {"d_year": "d_year", "brand_id": "i_brand_id", "brand": "i_brand", "sum_agg": "sales"}})
 
 YEARLY_COLUMNS = ["c_customer_id", "c_first_name", "c_last_name", "c_preferred_cust_flag", "c_birth_country", "c_login", "c_email_address"]
@@ -298,8 +298,8 @@ GROUP BY i_item_id, i_item_desc, i_category, i_class, i_current_price"""
 SHARE_OUT = "i_item_id:s i_item_desc:s i_category:s i_class:s i_current_price:d itemrevenue:d revenueratio:d"
 _SHARE = {"categories": ["Sports", "Books", "Home"], "day": D(1999, 2, 22)}
 for _key, _channel in (("q12", "web"), ("q20", "catalog"), ("q98", "store")):
-    _add(_key, class_share, SHARE_OUT if _key != "q98" else SHARE_OUT.removeprefix("i_item_id:s "), _SHARE_SQL.replace("#sales", CHANNELS[_channel][0]).replace("~", CHANNELS[_channel][1]),
-         order="i_category, i_class, i_item_id, i_item_desc, revenueratio" if _key != "q98" else "i_category, i_class, i_item_desc, revenueratio",
+    _add(_key, class_share, SHARE_OUT if _key != "q98" else SHARE_OUT.replace("i_item_id:s", "i_item_id:s!"), _SHARE_SQL.replace("#sales", CHANNELS[_channel][0]).replace("~", CHANNELS[_channel][1]),
+         order="i_category, i_class, i_item_id, i_item_desc, revenueratio",
          limit=None if _key == "q98" else 100, params={"channel": _channel, **_SHARE})
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, tally, total
-from tallyframe.plans.registry import Book
+from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.part1 import PUBLISHED_ZIPS, brand_report, demographic_sales
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, PLACE, WEEKDAYS, above_peers, dated, day_window, on_days, quoted, sold, take,
                                            weekday_sums, weekday_sums_sql)
@@ -419,8 +419,8 @@ SELECT i_product_name FROM item SEMI JOIN makers USING (i_manufact) WHERE i_manu
 
 _add("q42", brand_report, "d_year:i i_category_id:i i_category:s sum_sales:d", """
 SELECT d_year, i_category_id, i_category, sum(ss_ext_sales_price) AS sum_sales FROM store_sales JOIN item ON i_item_sk = ss_item_sk JOIN date_dim ON d_date_sk = ss_sold_date_sk
-WHERE i_manager_id = 1 AND (d_year, d_moy) = (2000, 11) GROUP BY ALL""", order="sum_sales desc, d_year, i_category_id, i_category", limit=100,
-     params={"items": "i_manager_id = 1", "days": "d_moy = 11 and d_year = 2000", "keys": ["d_year", "i_category_id", "i_category"],
+WHERE {items} AND {days} GROUP BY ALL""", order="sum_sales desc, d_year, i_category_id, i_category", limit=100,
+     params={"items": Raw("i_manager_id = 1"), "days": Raw("d_moy = 11 and d_year = 2000"), "keys": ["d_year", "i_category_id", "i_category"],
              "shown": {"d_year": "d_year", "i_category_id": "i_category_id", "i_category": "i_category", "sum_sales": "sales"}})
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, tally, total
-from tallyframe.plans.registry import Book
+from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.part1 import SHIP_OUT, _CHANNEL_OUT, _GROWTH_OUT, _people_case, _place_case, brand_report, channel_rollup, growth, shipped_orders
 from tallyframe.plans.tpcds.part2 import DAY_SALES, DELAYS, DELAYS_OUT, delays_sql, ranked_levels
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, MONTHS, SHORT_DAYS, dated, day_window, on_days, sent_back, sold, take,
@@ -44,13 +44,13 @@ QUALIFY web_cumulative > store_cumulative""", order="item_sk, d_date", limit=100
 
 _add("q52", brand_report, "d_year:i brand_id:i brand:s ext_price:d", """
 SELECT d_year, i_brand_id AS brand_id, i_brand AS brand, sum(ss_ext_sales_price) AS ext_price FROM store_sales JOIN item ON i_item_sk = ss_item_sk JOIN date_dim ON d_date_sk = ss_sold_date_sk
-WHERE i_manager_id = 1 AND (d_year, d_moy) = (2000, 11) GROUP BY ALL""", order="d_year, ext_price desc, brand_id", limit=100,
-     params={"items": "i_manager_id = 1", "days": "d_moy = 11 and d_year = 2000", "keys": ["d_year", "i_brand", "i_brand_id"],
+WHERE {items} AND {days} GROUP BY ALL""", order="d_year, ext_price desc, brand_id", limit=100,
+     params={"items": Raw("i_manager_id = 1"), "days": Raw("d_moy = 11 and d_year = 2000"), "keys": ["d_year", "i_brand", "i_brand_id"],
              "shown": {"d_year": "d_year", "brand_id": "i_brand_id", "brand": "i_brand", "ext_price": "sales"}})
 _add("q55", brand_report, "brand_id:i brand:s ext_price:d", """
 SELECT i_brand_id AS brand_id, i_brand AS brand, sum(ss_ext_sales_price) AS ext_price FROM store_sales JOIN item ON i_item_sk = ss_item_sk JOIN date_dim ON d_date_sk = ss_sold_date_sk
-WHERE i_manager_id = 28 AND (d_year, d_moy) = (1999, 11) GROUP BY ALL""", order="ext_price desc, brand_id", limit=100,
-     params={"items": "i_manager_id = 28", "days": "d_moy = 11 and d_year = 1999", "keys": ["i_brand", "i_brand_id"], "shown": {"brand_id": "i_brand_id", "brand": "i_brand", "ext_price": "sales"}})
+WHERE {items} AND {days} GROUP BY ALL""", order="ext_price desc, brand_id", limit=100,
+     params={"items": Raw("i_manager_id = 28"), "days": Raw("d_moy = 11 and d_year = 1999"), "keys": ["i_brand", "i_brand_id"], "shown": {"brand_id": "i_brand_id", "brand": "i_brand", "ext_price": "sales"}})
 
 # Item kinds of the published parameter set.
 _KINDS = ("(i_category in ('Books', 'Children', 'Electronics') and i_class in ('personal', 'portable', 'reference', 'self-help') and i_brand in "
@@ -465,6 +465,8 @@ def q77(t, p):
     # sales * n, the sum of returns, and profit * n - the sum of losses; the pairs are never built.
     out = per(sold(t, "catalog", day="~_sold_date_sk", place="cs_call_center_sk", sale="~_ext_sales_price", gain="~_net_profit"), "place", {"sale": "sales", "gain": "gain"})
     back = per(sent_back(t, "catalog", day="~_returned_date_sk", back_place="cr_call_center_sk", back="~_return_amount", loss="~_net_loss"), "back_place", {"back": "returns", "loss": "loss"})
+    if p.one_returns_row:
+        back = back.agg(total("returns", "returns"), total("loss", "loss"))
     back = back.agg(F.count("*").alias("n"), total("returns", "returns"), F.count("loss").alias("n_loss"), total("loss", "loss"))
     paired = take(one_row(out, back), channel="'catalog channel'", id="place", sales="sales * nullif(n, 0)", returns="returns", profit="gain * nullif(n_loss, 0) - loss")
     return channel_rollup([matched("store", "~_store_sk", t.store, "s_store_sk"), paired, matched("web", "~_web_page_sk", t.web_page, "wp_web_page_sk")])
@@ -483,7 +485,7 @@ _add("q77", q77, "channel:s id:i sales:d returns:d profit:d", "WITH " + ",\n".jo
     ("wr", _q77_side("wr", "web_returns", "wr_returned_date_sk", "wp_web_page_sk", "sum(wr_return_amt) AS r, sum(wr_net_loss) AS l", "JOIN web_page ON wp_web_page_sk = wr_web_page_sk")))) + """
 SELECT channel, id, sum(v) AS sales, sum(r) AS returns, sum(g) AS profit
 FROM (SELECT 'store channel' AS channel, k AS id, v, ifnull(r, 0) AS r, g - ifnull(l, 0) AS g FROM ss LEFT JOIN sr USING (k) UNION ALL SELECT 'catalog channel', cs.k, v, r, g - l FROM cs, cr
-      UNION ALL SELECT 'web channel', k, v, ifnull(r, 0), g - ifnull(l, 0) FROM ws LEFT JOIN wr USING (k)) GROUP BY ROLLUP (channel, id)""", order="channel, id", limit=100, params={"day": D(2000, 8, 23)})
+      UNION ALL SELECT 'web channel', k, v, ifnull(r, 0), g - ifnull(l, 0) FROM ws LEFT JOIN wr USING (k)) GROUP BY ROLLUP (channel, id)""", order="channel, id", limit=100, params={"day": D(2000, 8, 23), "one_returns_row": False})
 
 
 def q78(t, p):
@@ -493,7 +495,7 @@ def q78(t, p):
         return lines.groupBy(F.col(f"{s}_item_sk").alias(f"{s}_item"), F.col(BUYER[channel]).alias(f"{s}_who")).agg(*[total(f"{s}_{c}", f"{s}_{n}") for c, n in (("quantity", "qty"), ("wholesale_cost", "wc"), ("sales_price", "sp"))])
 
     both = on(on(kept("store"), kept("web"), "ws_item = ss_item and ws_who = ss_who", "left"), kept("catalog"), "cs_item = ss_item and cs_who = ss_who", "left")
-    both = both.where("coalesce(ws_qty, 0) > 0 or coalesce(cs_qty, 0) > 0")
+    both = both.where(f"coalesce(ws_qty, 0) > 0 {p.link} coalesce(cs_qty, 0) > 0")
     other = {n: f"coalesce(ws_{c}, 0) + coalesce(cs_{c}, 0)" for c, n in (("qty", "other_chan_qty"), ("wc", "other_chan_wholesale_cost"), ("sp", "other_chan_sales_price"))}
     return take(both, ss_sold_year=str(p.year), ss_item_sk="ss_item", ss_customer_sk="ss_who", ratio=f"round(cast(ss_qty as double) / ({other['other_chan_qty']}), 2)", store_qty="ss_qty", store_wholesale_cost="ss_wc", store_sales_price="ss_sp", **other)
 
@@ -509,7 +511,7 @@ _add("q78", q78, "ss_sold_year:i ss_item_sk:i ss_customer_sk:i ratio:d store_qty
 SELECT {year} AS ss_sold_year, ss.i AS ss_item_sk, ss.c AS ss_customer_sk, ((200 * ss.q + ifnull(ws.q, 0) + ifnull(cs.q, 0)) // (2 * (ifnull(ws.q, 0) + ifnull(cs.q, 0))))::DOUBLE / 100 AS ratio, ss.q AS store_qty, ss.w AS store_wholesale_cost, ss.p AS store_sales_price,
        ifnull(ws.q, 0) + ifnull(cs.q, 0) AS other_chan_qty, ifnull(ws.w, 0) + ifnull(cs.w, 0) AS other_chan_wholesale_cost, ifnull(ws.p, 0) + ifnull(cs.p, 0) AS other_chan_sales_price
 FROM ss LEFT JOIN ws ON ws.i = ss.i AND ws.c = ss.c LEFT JOIN cs ON cs.i = ss.i AND cs.c = ss.c WHERE greatest(ws.q, cs.q) > 0""",
-     order="ss_sold_year, ss_item_sk, ss_customer_sk, store_qty desc, store_wholesale_cost desc, store_sales_price desc, other_chan_qty, other_chan_wholesale_cost, other_chan_sales_price, ratio", limit=100, params={"year": 2000})
+     order="ss_sold_year, ss_item_sk, ss_customer_sk, store_qty desc, store_wholesale_cost desc, store_sales_price desc, other_chan_qty, other_chan_wholesale_cost, other_chan_sales_price, ratio", limit=100, params={"year": 2000, "link": "or"})
 
 
 def q79(t, p):

@@ -66,6 +66,12 @@ class Catalog:
         text = _spelled(rules[name], _SPARK_WORDS)
         return self.spark.sql(text, **{slot: self.given(slot) for slot in set(_SLOT.findall(text))})
 
+    def pruned(self, name: str, key: str, low: int, high: int) -> Catalog:
+        """The same tables with one of them limited to a range of its partition key."""
+        view = Catalog(self.spark, self.folder, self.suite)
+        view._frames[name] = self.table(name).where(f"{key} between {low} and {high}")
+        return view
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
