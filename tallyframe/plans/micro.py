@@ -163,12 +163,6 @@ def four_maps(t, p):
     return functools.reduce(lambda df, _: df.select((F.col("id") + 1).alias("id")), range(4), ids(t, "mid"))
 
 
-@F.pandas_udf("double")
-def average_udaf(values: pd.Series) -> float:
-    """Grouped-aggregate twin of ``avg``; it sees one Arrow batch per group, so it is for small groups."""
-    return float(values.mean())
-
-
 def key_average(t, p):
     return ids(t, "mid").agg(mean("id", "average"))
 
