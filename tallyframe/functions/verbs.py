@@ -54,8 +54,9 @@ def renamed(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
 
 
 def one_row(df: DataFrame, single: DataFrame) -> DataFrame:
-    """Attach a global aggregate; its single row is broadcast."""
-    return df.crossJoin(F.broadcast(single))
+    """Add the columns of a one-row aggregate as a scalar subquery: computed once, then a constant of the plan."""
+    packed = single.select(F.struct(*single.columns).alias("row")).scalar()
+    return df.withColumn("one_row", packed).select(*df.columns, "one_row.*")
 
 
 def _c(column: str | Column) -> Column:

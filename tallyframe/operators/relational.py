@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyframe.functions.verbs import one_row
+
 
 def star_join(fact: DataFrame, dimensions: list[tuple[DataFrame, str]], keys: list[str], measures: list[Column]) -> DataFrame:
     """Fact joined to filtered dimensions on SQL conditions, then aggregated."""
@@ -39,7 +41,7 @@ def not_in(left: DataFrame, column: str, right: DataFrame, right_column: str) ->
     """
     listed = right.select(F.col(right_column).alias("listed"))
     summary = listed.agg(F.count("*").alias("listed_rows"), F.count("listed").alias("listed_values"))
-    kept = left.join(listed.where("listed is not null"), F.col(column) == F.col("listed"), "left_anti").crossJoin(F.broadcast(summary))
+    kept = one_row(left.join(listed.where("listed is not null"), F.col(column) == F.col("listed"), "left_anti"), summary)
     test = (F.col("listed_rows") == 0) | ((F.col("listed_rows") == F.col("listed_values")) & F.col(column).isNotNull())
     return kept.where(test).select(*left.columns)
 
@@ -51,8 +53,8 @@ def versus_group(df: DataFrame, key: str, value: Column, name: str, test: str) -
 
 
 def versus_all(df: DataFrame, value: Column, name: str, test: str) -> DataFrame:
-    """Rows compared with a global aggregate (an uncorrelated scalar subquery); the single row is broadcast."""
-    return df.crossJoin(F.broadcast(df.agg(value.alias(name)))).where(test)
+    """Rows compared with a global aggregate (an uncorrelated scalar subquery)."""
+    return one_row(df, df.agg(value.alias(name))).where(test)
 
 
 def rollup_ranked(df: DataFrame, parent: str, child: str, measure: Column, name: str) -> DataFrame:

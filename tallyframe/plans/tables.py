@@ -91,35 +91,27 @@ _add("udf.partition_apply", lambda t, p: A.partition_apply(t.orders.select("o_or
      "o_orderkey:l twice:l letters:l is_open:b", "SELECT o_orderkey, o_orderkey * 2 AS twice, length(o_comment) AS letters, o_orderstatus = 'O' AS is_open FROM orders")
 
 
-def _group_means(key_type: str, width: int):
-    """Mean of a value per key by a user function; a group is the lines of one supplier, some hundreds at any scale."""
-    def build(t, p):
-        key = F.col("l_suppkey").cast("string") if key_type == "string" else F.col("l_suppkey")
-        lines = t.lineitem.select((F.lpad(key, width, "0") if width else key).alias("key"), F.col("l_quantity").cast("double").alias("val"))
-        return A.group_apply(lines, ["key"], lambda rows: pd.DataFrame({"key": [rows["key"].iloc[0]], "mean": [rows["val"].mean()]}), f"key {'string' if width else 'long'}, mean double")
+def _partial_mean(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"key": [rows["key"].iloc[0]], "total": [rows["val"].sum()], "n": [len(rows)]})
 
-    return build
 
+def _merged_mean(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
+    folded = pd.DataFrame({"key": [rows["key"].iloc[0]], "total": [rows["total"].sum()], "n": [int(rows["n"].sum())]})
+    return folded.assign(mean=folded["total"] / folded["n"])[["key", "mean"]] if last else folded
 
-_add("udf.group_apply", _group_means("long", 0), "key:l mean:d6", "SELECT l_suppkey AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1")
-_add("udf.group_apply_10", _group_means("string", 10), "key:s mean:d6", "SELECT lpad(l_suppkey::VARCHAR, 10, '0') AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1")
-_add("udf.group_apply_100", _group_means("string", 100), "key:s mean:d6", "SELECT lpad(l_suppkey::VARCHAR, 100, '0') AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1")
 
+def group_means(t, p):
+    """Mean of a value per key by a user function. A key may hold any share of the rows, so the function works in mergeable
+    steps; ``group_apply`` runs one that needs its whole group at once."""
+    key = F.col(p.key).cast("string") if p.width else F.col(p.key)
+    lines = t.lineitem.select((F.lpad(key, p.width, "0") if p.width else key).alias("key"), F.col("l_quantity").cast("double").alias("val"))
+    kind = p.kind
+    return A.group_apply_merged(lines, ["key"], _partial_mean, f"key {kind}, total double, n long", _merged_mean, f"key {kind}, mean double")
 
-def hot_group_means(t, p):
-    """The same for three keys that hold a third of all rows each: partial sums, salted pieces, then the mean."""
-    lines = t.lineitem.select(F.col("l_returnflag").alias("key"), F.col("l_quantity").cast("double").alias("val"))
 
-    def partial(rows):
-        return pd.DataFrame({"key": [rows["key"].iloc[0]], "total": [rows["val"].sum()], "n": [len(rows)]})
-
-    def merge(rows, last):
-        folded = pd.DataFrame({"key": [rows["key"].iloc[0]], "total": [rows["total"].sum()], "n": [int(rows["n"].sum())]})
-        return folded.assign(mean=folded["total"] / folded["n"])[["key", "mean"]] if last else folded
-
-    return A.group_apply_merged(lines, ["key"], partial, "key string, total double, n long", merge, "key string, mean double")
-
-
-_add("udf.group_apply_merged", hot_group_means, "key:s mean:d6", "SELECT l_returnflag AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1")
+_add("udf.group_apply", group_means, "key:l mean:d6", "SELECT l_suppkey AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1", params={"key": "l_suppkey", "width": 0, "kind": "long"})
+_add("udf.group_apply_10", group_means, "key:s mean:d6", "SELECT lpad(l_suppkey::VARCHAR, 10, '0') AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1", params={"key": "l_suppkey", "width": 10, "kind": "string"})
+_add("udf.group_apply_100", group_means, "key:s mean:d6", "SELECT lpad(l_suppkey::VARCHAR, 100, '0') AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1", params={"key": "l_suppkey", "width": 100, "kind": "string"})
+_add("udf.group_apply_hot", group_means, "key:s mean:d6", "SELECT lpad(l_returnflag, 1, '0') AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1", params={"key": "l_returnflag", "width": 1, "kind": "string"})
 _add("udf.geomean", lambda t, p: t.orders.groupBy("o_orderpriority").agg(L.geometric_mean(F.col("o_totalprice").cast("double")).alias("geomean")), "o_orderpriority:s geomean:d4", "SELECT o_orderpriority, geomean(o_totalprice::DOUBLE) AS geomean FROM orders GROUP BY 1")
 _add("udf.scalar", lambda t, p: t.orders.select("o_orderkey", A.strip_suffix(F.col("o_comment"), " requests").alias("comment")), "o_orderkey:l comment:s", "SELECT o_orderkey, replace(o_comment, ' requests', '') AS comment FROM orders")
