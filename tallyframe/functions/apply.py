@@ -43,23 +43,41 @@ def group_apply(df: DataFrame, keys: list[str], function: Callable[[pd.DataFrame
 
 
 def group_apply_merged(df: DataFrame, keys: list[str], partial: Callable[[pd.DataFrame], pd.DataFrame], partial_schema: str,
-                       merge: Callable[[pd.DataFrame, bool], pd.DataFrame], schema: str, pieces: int = 64) -> DataFrame:
-    """A group function in mergeable steps, for groups of any size.
+                       merge: Callable[[pd.DataFrame, bool], pd.DataFrame], schema: str, most_rows: int = 100_000) -> DataFrame:
+    """A group function in mergeable steps, for groups of any size and any number of groups.
 
-    ``partial`` reduces rows of one group, batch by batch, to a few rows of ``partial_schema`` (keys included). ``merge`` folds
-    such rows twice: ``merge(rows, False)`` per salted piece, again in the partial schema, and ``merge(rows, True)`` per group,
-    in the final one. No task ever holds a whole group.
+    ``partial`` turns a batch of rows, many groups at once, into one row of ``partial_schema`` per group. ``merge`` folds such
+    rows, again to one per group: with ``False`` in the partial schema, with ``True`` in the final one. Partitions are reduced
+    before the shuffle, so that a hot key crosses it as a few rows per task; afterwards the sorted rows stream through, and
+    only the group at the end of a batch is carried on. No task holds a whole group.
     """
     def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for batch in batches:
-            for _, rows in batch.groupby(keys, dropna=False):
-                yield partial(rows)
+            rows = partial(batch)
+            held = rows if held is None else merge(pd.concat([held, rows], ignore_index=True), False)
+            if len(held) > most_rows:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carried = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch if carried is None else pd.concat([carried, batch], ignore_index=True)
+            end, folded = rows[keys].iloc[-1], merge(rows, False)
+            same = ((folded[keys] == end) | (folded[keys].isna() & end.isna())).all(axis=1)
+            if not same.all():
+                yield merge(folded[~same], True)
+            carried = folded[same]
+        if carried is not None:
+            yield merge(carried, True)
 
     reduced = df.mapInPandas(shrink, partial_schema)
-    # The piece depends on the reduced row, so a hot key's many partial rows spread over all pieces.
-    salted = reduced.withColumn("piece", F.pmod(F.xxhash64(*reduced.columns), F.lit(pieces)))
-    folded = salted.groupBy(*keys, "piece").applyInPandas(lambda rows: merge(rows.drop(columns="piece"), False), partial_schema)
-    return folded.groupBy(*keys).applyInPandas(lambda rows: merge(rows, True), schema)
+    return reduced.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(finish, schema)
 
 
 def group_apply_collect(df: DataFrame, keys: list[str], function, schema: str) -> pd.DataFrame:

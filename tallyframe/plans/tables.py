@@ -92,11 +92,11 @@ _add("udf.partition_apply", lambda t, p: A.partition_apply(t.orders.select("o_or
 
 
 def _partial_mean(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"key": [rows["key"].iloc[0]], "total": [rows["val"].sum()], "n": [len(rows)]})
+    return rows.groupby("key", as_index=False, dropna=False).agg(total=("val", "sum"), n=("val", "count"))
 
 
 def _merged_mean(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
-    folded = pd.DataFrame({"key": [rows["key"].iloc[0]], "total": [rows["total"].sum()], "n": [int(rows["n"].sum())]})
+    folded = rows.groupby("key", as_index=False, dropna=False).agg(total=("total", "sum"), n=("n", "sum"))
     return folded.assign(mean=folded["total"] / folded["n"])[["key", "mean"]] if last else folded
 
 
