@@ -109,11 +109,8 @@ def external_table(spark: SparkSession, name: str, path: str, file_format: str =
 
 
 def recover_partitions(spark: SparkSession, name: str) -> None:
-    """Register partition folders; a catalog that lists files itself has nothing to recover."""
-    if spark.conf.get("spark.sql.catalogImplementation") == "hive":
-        spark.catalog.recoverPartitions(name)
-    else:
-        spark.catalog.refreshTable(name)
+    """Register the partition folders under a table's location."""
+    spark.catalog.recoverPartitions(name)
 
 
 def external_suite(spark: SparkSession, database: str, suite: str, folder: str, only: str | None = None, file_format: str = "parquet") -> None:
