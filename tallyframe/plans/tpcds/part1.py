@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, tally, total
+from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, total
 from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, SHORT_DAYS, above_peers, dated, day_window, on_days, quoted, sent_back,
                                            share_of_class, sold, take, weekday_sums, weekday_sums_sql)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, tally, total
+from tallyframe.functions.verbs import mean, on, one_row, ratio, renamed, semi, tally, total
 from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.part1 import PUBLISHED_ZIPS, brand_report, demographic_sales
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, PLACE, WEEKDAYS, above_peers, dated, day_window, on_days, quoted, sold, take,

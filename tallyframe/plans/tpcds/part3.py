@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, tally, total
 from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.part1 import SHIP_OUT, _CHANNEL_OUT, _GROWTH_OUT, _people_case, _place_case, brand_report, channel_rollup, growth, shipped_orders
-from tallyframe.plans.tpcds.part2 import DAY_SALES, DELAYS, DELAYS_OUT, delays_sql, ranked_levels
+from tallyframe.plans.tpcds.part2 import DELAYS, DELAYS_OUT, delays_sql, ranked_levels
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, MONTHS, SHORT_DAYS, dated, day_window, on_days, sent_back, sold, take,
                                            weekday_sums, weekday_sums_sql)
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.functions.verbs import mean, on, semi, tally, total
+from tallyframe.functions.verbs import mean, on, semi, total
 from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds import part1, part2, part3
-from tallyframe.plans.tpcds.shared import D, dated, on_days, take
+from tallyframe.plans.tpcds.shared import D, dated, on_days
 
 BOOK = Book()
 _ALL = {**part1.BOOK, **part2.BOOK, **part3.BOOK}
