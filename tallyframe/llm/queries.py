@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import exact_dedup, packing
+from tallyframe.llm import exact_dedup, language_id, license_scan, packing, secret_scan
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -19,16 +19,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.license_scan(documents(spark, sf_dir)))
+
+
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(documents(spark, sf_dir), RANKS, PATTERN)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    known = language_id.profiles(docs.where(~language_id.held_out("doc_id")))
+    found = language_id.identify(docs, known)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Run]:
-    return {f.__name__: f for f in (op2_harmonic_packing, op6_exact_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op5_language_id, op6_exact_dedup, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
