@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import exact_dedup, language_id, license_scan, packing, secret_scan
+from tallyframe.llm import exact_dedup, language_id, license_scan, mixing, packing, secret_scan
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(documents(spark, sf_dir), RANKS, PATTERN)
 
 
+def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     known = language_id.profiles(docs.where(~language_id.held_out("doc_id")))
@@ -43,7 +47,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Run]:
-    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op5_language_id, op6_exact_dedup, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op4_entropy_mixing, op5_language_id, op6_exact_dedup, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
