@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import exact_dedup, language_id, license_scan, mixing, packing, secret_scan
+from tallyframe.llm import exact_dedup, fingerprints, language_id, license_scan, mixing, packing, secret_scan, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,10 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(documents(spark, sf_dir), RANKS, PATTERN)
 
 
+def op3_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir)).drop("changed")
+
+
 def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -42,16 +47,53 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+# A history of two lists for the hosts of the pages, by rules on the smallest page of each host: dates as days from the first of 2024.
+LIST_RULES = """
+SELECT 'hosts' AS list, 'block' AS kind, host AS pattern, 'add' AS action, seed * 13 % 200 AS day FROM hosts WHERE seed % 3 <> 0
+UNION ALL SELECT 'hosts', 'block', host, 'remove', seed * 13 % 200 + 60 + seed % 50 FROM hosts WHERE seed % 3 <> 0
+UNION ALL SELECT 'hosts', 'block', host, 'add', seed * 13 % 200 + 150 FROM hosts WHERE seed % 6 = 1
+UNION ALL SELECT 'domains', 'block', substr(host, length(host) - 10), 'add', seed * 7 % 300 FROM hosts WHERE seed % 5 = 0 AND length(host) > 11
+UNION ALL SELECT 'paths', 'allow', concat(host, '/en'), 'add', seed * 5 % 250 FROM hosts WHERE seed % 2 = 0
+UNION ALL SELECT 'paths', 'block', concat(host, '/de'), 'add', seed * 3 % 250 FROM hosts WHERE seed % 4 = 1"""
+FETCHED = "date_add(DATE '2024-01-01', CAST(page_id * 7919 % 366 AS INT))"
+
+
+def op9_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    hosts = pages.groupBy(url_filter.host_of(F.col("url")).alias("host")).agg(F.min("page_id").alias("seed")).where("host <> ''")
+    events = spark.sql(LIST_RULES.replace("FROM hosts", "FROM {hosts}"), hosts=hosts).withColumn("at", F.expr("date_add(DATE '2024-01-01', CAST(day AS INT))"))
+    found = url_filter.temporal_filter(pages.withColumn("fetched", F.expr(FETCHED)), events)
+    dates = ("fetched", "valid_from", "valid_until")
+    return found.select("page_id", "url", "host", "pattern", "list", "kind", *[F.col(c).cast("string").alias(c) for c in dates], "blocked")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Run]:
-    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op4_entropy_mixing, op5_language_id, op6_exact_dedup, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op3_iblt_fingerprints, op4_entropy_mixing, op5_language_id, op6_exact_dedup, op9_temporal_url_filter, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op6_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256
-FROM documents"""}
+FROM documents""", "op9_temporal_url_filter": f"""
+WITH captures AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 7919 % 366 AS INT) AS fetched,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1)) AS host, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) AS path
+  FROM pages),
+hosts AS (SELECT host, min(page_id) AS seed FROM captures WHERE host <> '' GROUP BY host),
+events AS ({LIST_RULES}),
+dated AS (SELECT list, pattern, day, min(action) AS action, min(kind) AS kind FROM events GROUP BY list, pattern, day),
+periods AS (SELECT list, kind, pattern, action, DATE '2024-01-01' + CAST(day AS INT) AS valid_from,
+                   DATE '2024-01-01' + CAST(lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS INT) AS valid_until FROM dated),
+entries AS (SELECT * FROM periods WHERE action = 'add'),
+matches AS (
+  SELECT c.page_id, e.*, row_number() OVER (PARTITION BY c.page_id ORDER BY length(e.pattern) DESC, e.kind, e.list, e.valid_from) AS place
+  FROM captures c JOIN entries e ON (c.host = e.pattern OR ends_with(c.host, '.' || e.pattern) OR starts_with(c.host || c.path || '/', e.pattern || '/'))
+                                AND c.fetched >= e.valid_from AND (e.valid_until IS NULL OR c.fetched < e.valid_until))
+SELECT c.page_id, c.url, c.host, m.pattern, m.list, m.kind, CAST(c.fetched AS VARCHAR) AS fetched, CAST(m.valid_from AS VARCHAR) AS valid_from,
+       CAST(m.valid_until AS VARCHAR) AS valid_until, coalesce(m.kind = 'block', false) AS blocked
+FROM captures c LEFT JOIN matches m ON c.page_id = m.page_id AND m.place = 1"""}
