@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.shared import picked
 
-WIDTHS, ROUNDS = (16, 48, 160), 24
+WIDTHS, ROUNDS = (9, 48), 24
 
 
 def let(value: Column, body) -> Column:
@@ -24,7 +24,7 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def digests(text: Column, words: int = 12) -> Column:
+def digests(text: Column, words: int = 24) -> Column:
     """The set of a text's cell digests."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(rf"(?:\S++[^\S\n]*+){{1,{words}}}+"), F.lit(0)), lambda cell: F.xxhash64(cell)))
 
@@ -33,31 +33,38 @@ def check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit("check"))
 
 
-def entries(found: Column, width: int, sign: Column | None = None) -> Column:
-    """Digests with their sign, check and cells, one in each table."""
-    def entry(x):
-        key = x if sign is None else x["key"]
-        return F.struct((F.lit(1) if sign is None else x["n"]).cast("int").alias("n"), key.alias("key"), check(key).alias("mark"),
-                        *[(F.pmod(F.xxhash64(key, F.lit(t)), F.lit(width)) + t * width).cast("int").alias(f"p{t}") for t in range(3)])
+def entries(signed: Column, width: int) -> Column:
+    """{n, key} with their check and their cell in each table."""
+    return F.transform(signed, lambda x: F.struct(x["n"].alias("n"), x["key"].alias("key"), check(x["key"]).alias("mark"),
+                                                  *[F.pmod(F.xxhash64(x["key"], F.lit(t)), F.lit(width)).cast("int").alias(f"p{t}") for t in range(3)]))
 
-    return F.transform(found, entry)
 
+def signed(found: Column, n: int) -> Column:
+    return F.transform(found, lambda x: F.struct(F.lit(n).alias("n"), x.alias("key")))
 
-def mine(placed: Column, cell: Column) -> Column:
-    return F.filter(placed, lambda e: (e["p0"] == cell) | (e["p1"] == cell) | (e["p2"] == cell))
 
+def entered(cells: Column, placed: Column, width: int) -> Column:
+    """Cells, table after table, with entries added to them; an entry of the opposite sign takes its digest out."""
+    def cell(c, i, t):
+        def with_held(held):
+            return F.when(F.size(held) == 0, c).otherwise(F.struct((c["n"] + F.aggregate(held, F.lit(0), lambda a, e: a + e["n"])).alias("n"), F.aggregate(held, c["key"], lambda a, e: a.bitwiseXOR(e["key"])).alias("key"),
+                                                                   F.aggregate(held, c["mark"], lambda a, e: a.bitwiseXOR(e["mark"])).alias("mark")))
 
-def summed(held: Column, start: tuple[Column, Column, Column]) -> Column:
-    """A cell with the entries ``held`` taken out, or put into an empty cell, which is the same but for the sign."""
-    n, key, mark = start
-    return F.struct((n - F.aggregate(held, F.lit(0), lambda a, e: a + e["n"])).alias("n"), F.aggregate(held, key, lambda a, e: a.bitwiseXOR(e["key"])).alias("key"),
-                    F.aggregate(held, mark, lambda a, e: a.bitwiseXOR(e["mark"])).alias("mark"))
+        return let(F.filter(placed, lambda e: e[f"p{t}"] == i), with_held)
 
+    def table(t):
+        return F.transform(F.slice(cells, t * width + 1, width), lambda c, i: cell(c, i, t))
 
-def sketch(found: Column, width: int) -> Column:
-    """Three tables of ``width`` cells {n, key, mark}; counts are negative, as of digests taken out of an empty sketch."""
+    return F.concat(*[table(t) for t in range(3)])
+
+
+def sketch(found: Column, width: int, minus: Column | None = None) -> Column:
+    """Three tables of ``width`` cells {n, key, mark} of a set of digests; with ``minus`` the difference to that set's sketch, as a
+    digest entered with the opposite sign is one subtracted."""
     zero = F.lit(0).cast("long")
-    return let(entries(found, width), lambda placed: F.transform(F.sequence(F.lit(0), F.lit(3 * width - 1)), lambda i: summed(mine(placed, i), (F.lit(0), zero, zero))))
+    empty = F.array_repeat(F.struct(F.lit(0).alias("n"), zero.alias("key"), zero.alias("mark")), 3 * width)
+    given = signed(found, 1) if minus is None else F.concat(signed(found, 1), signed(minus, -1))
+    return let(entries(given, width), lambda placed: entered(empty, placed, width))
 
 
 def subtracted(a: Column, b: Column) -> Column:
@@ -65,35 +72,33 @@ def subtracted(a: Column, b: Column) -> Column:
 
 
 def peeled(cells: Column, width: int) -> Column:
-    """The digests that differ, as {n, key} with n -1 for those of the first sketch and 1 for those of the second; null if cells are left."""
-    def pure(state):
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["mark"] == check(c["key"])))
+    """The digests that differ, as {n, key} with n 1 for those of the first sketch only and -1 for those of the second; null if cells are left."""
+    def pure(those):
+        single = F.filter(those, lambda c: (F.abs(c["n"]) == 1) & (c["mark"] == check(c["key"])))
         return F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
 
-    def step(state, _):
-        def without(found):
-            left = let(entries(found, width, F.lit(1)), lambda placed: F.transform(state["cells"], lambda c, i: summed(mine(placed, i), (c["n"], c["key"], c["mark"]))))
-            return F.when(F.size(found) == 0, state).otherwise(F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found")))
+    def state(those, found):
+        return F.struct(those.alias("cells"), found.alias("found"), pure(those).alias("pure"))
 
-        return let(pure(state), without)
+    def step(now, _):
+        out = F.transform(now["pure"], lambda x: F.struct((-x["n"]).alias("n"), x["key"].alias("key")))
+        left = let(entries(out, width), lambda placed: entered(now["cells"], placed, width))
+        return F.when(F.size(now["pure"]) == 0, now).otherwise(let(left, lambda those: state(those, F.concat(now["found"], now["pure"]))))
 
-    start = F.struct(cells.alias("cells"), F.array().cast("array<struct<n:int,key:bigint>>").alias("found"))
+    start = let(cells, lambda those: state(those, F.array().cast("array<struct<n:int,key:bigint>>")))
     return let(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step),
                lambda s: F.when(F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["mark"] == 0)), s["found"]))
 
 
 def plainly(a: Column, b: Column) -> Column:
-    def side(these, others, n):
-        return F.transform(F.array_except(these, others), lambda x: F.struct(F.lit(n).alias("n"), x.alias("key")))
-
-    return F.concat(side(a, b, -1), side(b, a, 1))
+    return F.concat(signed(F.array_except(a, b), 1), signed(F.array_except(b, a), -1))
 
 
 def in_groups(a: Column, b: Column, per_group: int) -> Column:
     """The digests that differ, found group by group, a group again with a wider sketch whenever peeling fails. Dealt out in two steps,
     so that a long text's digests are not read once for each of its groups."""
     def solved(x, y):
-        return F.coalesce(*[peeled(subtracted(sketch(x, width), sketch(y, width)), width) for width in WIDTHS], plainly(x, y))
+        return F.coalesce(*[peeled(sketch(x, width, y), width) for width in WIDTHS], plainly(x, y))
 
     def share(these, salt, i, parts):
         return F.filter(these, lambda x: F.pmod(F.xxhash64(x, F.lit(salt)), parts) == i)
@@ -105,8 +110,8 @@ def in_groups(a: Column, b: Column, per_group: int) -> Column:
     return let(F.ceil(F.sqrt(groups)).cast("long"), lambda parts: split(a, b, "outer", parts, lambda x, y: split(x, y, "inner", parts, solved)))
 
 
-def differing(a: Column, b: Column, width: int = 4, per_group: int = 16) -> Column:
-    """{n, key} of every digest that is in one of two sets only (n is -1: in the first, 1: in the second), from fingerprints if they suffice."""
+def differing(a: Column, b: Column, width: int = 4, per_group: int = 10) -> Column:
+    """{n, key} of every digest that is in one of two sets only (n is 1: in the first, -1: in the second), from fingerprints if they suffice."""
     first = peeled(subtracted(sketch(a, width), sketch(b, width)), width)
     return F.coalesce(first, in_groups(a, b, per_group))
 
@@ -118,7 +123,7 @@ def likeness(a: Column, b: Column, found: Column) -> Column:
 
 
 def as_text(cells: Column) -> Column:
-    return F.array_join(F.transform(cells, lambda c: F.concat_ws(":", F.hex(-c["n"]), F.hex(c["key"]), F.hex(c["mark"]))), ".")
+    return F.array_join(F.transform(cells, lambda c: F.concat_ws(":", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["mark"]))), ".")
 
 
 def with_next(docs: DataFrame, bands: int | None = None) -> DataFrame:
@@ -154,11 +159,11 @@ def edited(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.char_length(text) - half), F.substring(next_text, F.lit(1), half))
 
 
-def fingerprints(docs: DataFrame, width: int = 4, words: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = 4, words: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document's fingerprint, its edited text's, and how like they are to each other and to the next document's.
 
     Result: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, changed (the digests {n, key} that
-    the edit removed, n -1, or added, n 1). Null text counts as empty; a null doc_id comes first; rows with one doc_id follow each
+    the edit removed, n 1, or added, n -1). Null text counts as empty; a null doc_id comes first; rows with one doc_id follow each
     other by text; a single row is its own next; an empty table gives an empty result; other columns are ignored.
     """
     rows = picked(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))

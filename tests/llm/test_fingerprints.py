@@ -9,7 +9,7 @@ from tallyframe.llm.queries import op3_iblt_fingerprints
 
 
 def cells(text):
-    return {c for c in re.findall(r"(?:\S+[^\S\n]*){1,12}", text, re.A)}
+    return {c for c in re.findall(r"(?:\S+[^\S\n]*){1,24}", text, re.A)}
 
 
 def jaccard(a, b):
@@ -61,7 +61,7 @@ def test_peeling_recovers_differences_and_retries(spark):
     df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
     first = df.select("a", "b", P.peeled(P.subtracted(P.sketch(F.col("a"), 4), P.sketch(F.col("b"), 4)), 4).alias("small"), P.differing(F.col("a"), F.col("b")).alias("all")).collect()
     for r in first:
-        wanted = sorted([(-1, x) for x in set(r["a"]) - set(r["b"])] + [(1, x) for x in set(r["b"]) - set(r["a"])])
+        wanted = sorted([(1, x) for x in set(r["a"]) - set(r["b"])] + [(-1, x) for x in set(r["b"]) - set(r["a"])])
         assert sorted(map(tuple, r["all"])) == wanted
         assert r["small"] is None or sorted(map(tuple, r["small"])) == wanted
     assert any(r["small"] is None for r in first) and any(r["small"] for r in first)
