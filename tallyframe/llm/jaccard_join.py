@@ -183,8 +183,8 @@ def probed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document with the component of documents that it links to, directly or through others.
 
-    Result, one row per document: doc_id, n_shingles, component_id (the smallest doc_id of the component), key (equal for documents with equal sets; null for an
-    empty set, which links with nothing). Null text has no words. A null doc_id is not smaller than any other; repeated rows are documents
+    Result, one row per document: doc_id, n_shingles, component_id (the smallest doc_id of the component), label (equal for the documents of a component; null
+    for an empty set, which links with nothing), th (hash of the text). Null text has no words. A null doc_id is not smaller than any other; repeated rows are documents
     with equal sets; an empty table gives an empty result; other columns are ignored.
     """
     rows = picked(docs, doc_id=id_col, text=text_col).withColumn("th", F.xxhash64("text"))
@@ -209,5 +209,18 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
         labels = components(links.unionByName(probed(more, found, percent)))
     of_set = sets.join(labels, F.col("key") == F.col("node"), "left").select("key", "least_id", F.coalesce("label", "key").alias("label"))
     least = of_set.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = of_set.join(least, "label").select("key", "component_id")
-    return index.select("doc_id", F.col("n").alias("n_shingles"), "key").join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "key")
+    named = of_set.join(least, "label").select("key", "label", "component_id")
+    return index.select("doc_id", F.col("n").alias("n_shingles"), "key", "th").join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "label", "th")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns: of each component the one with the smallest doc_id (null last, then by text hash), and all
+    with an empty set. A row repeated with its identifier and text stays once."""
+    def key(identifier, text_hash):
+        return F.concat(F.coalesce(F.col(identifier).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text_hash.cast("string"), F.lit("-")))
+
+    found = jaccard_join(docs, words, percent, id_col, text_col)
+    first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("f")).select("f.doc_id", "f.th")
+    stay = first.unionByName(found.where("label is null").select("doc_id", "th")).select(key("doc_id", F.col("th")).alias("_row"))
+    marked = docs.withColumn("_row", key(f"`{id_col}`", F.xxhash64(F.col(f"`{text_col}`"))))
+    return marked.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])

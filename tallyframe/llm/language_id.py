@@ -82,13 +82,8 @@ def profiles(labelled: DataFrame, size: int = 300, id_col: str = "doc_id", text_
     return dict(found)
 
 
-def identify(docs: DataFrame, known: dict[str, list[int]], size: int = 300, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The language of every text.
-
-    Result: doc_id, lang_pred, score (1 for a text whose n-grams have exactly the profile's order, 0 for one that shares none). Null
-    texts, texts without a letter, and all texts if no language is known get ``und`` and score 0. Equal distances go to the
-    language that comes first by name. Repeated rows are judged each; an empty table gives an empty result; other columns are ignored.
-    """
+def judge_of(known: dict[str, list[int]], size: int):
+    """A function from a text to its language and score."""
     names = sorted(known)
     sorted_grams = [np.sort(np.array(known[name], np.int64)) for name in names]
     ranks = [np.argsort(np.array(known[name], np.int64)) for name in names]  # rank of the n-gram at each place of the sorted ones
@@ -106,6 +101,18 @@ def identify(docs: DataFrame, known: dict[str, list[int]], size: int = 300, id_c
                 best, pick = distance, i
         return names[pick], max(0.0, 1.0 - best / (size * len(own)))
 
+    return judged
+
+
+def identify(docs: DataFrame, known: dict[str, list[int]], size: int = 300, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The language of every text.
+
+    Result: doc_id, lang_pred, score (1 for a text whose n-grams have exactly the profile's order, 0 for one that shares none). Null
+    texts, texts without a letter, and all texts if no language is known get ``und`` and score 0. Equal distances go to the
+    language that comes first by name. Repeated rows are judged each; an empty table gives an empty result; other columns are ignored.
+    """
+    judged = judge_of(known, size)
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [judged(text) for text in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
@@ -117,3 +124,15 @@ def identify(docs: DataFrame, known: dict[str, list[int]], size: int = 300, id_c
 def held_out(doc_id, folds: int = 4, fold: int = 2):
     """Whether a document is kept from learning, by its identifier's CRC."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
+
+
+def recognised(docs: DataFrame, known: dict[str, list[int]], least: float = 0.2, size: int = 300, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is in a known language: not ``und``, and with a score of ``least`` or more."""
+    judge = judge_of(known, size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(batches, text_col):
+            found = [judge(text) for text in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", salts: int = 32) -> DataFrame:
     """doc_id, rid, source, size in words, and a salt that splits documents of one source and size. Written: texts are read once."""
-    rows = picked(docs, doc_id=id_col, text=text_col, source=source_col).select("doc_id", F.monotonically_increasing_id().alias("rid"), "source",
+    rows = picked(docs, doc_id=id_col, text=text_col, source=source_col).select("doc_id", F.monotonically_increasing_id().alias("rid"), "source", F.xxhash64("text").alias("th"),
                                                                                F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     return written(rows.withColumn("key", null_safe_key("source")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "rid"), F.lit(salts)).cast("int")), "sizes")
 
@@ -95,7 +95,7 @@ def extra_copies(by_size: DataFrame, solved: DataFrame, most: float = 2.0, start
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """How often the mix takes each document.
 
-    Result, one row per document: doc_id, rid, size, source_size, target, copies, taken (copies times size). Null text has no words; null
+    Result, one row per document: doc_id, rid, key (of the source), th (hash of the text), size, source_size, target, copies, taken (copies times size). Null text has no words; null
     is a source of its own; documents without words get no copy; repeated rows are documents of their own; an empty table gives an empty
     result. Which documents of equal source and size get a copy more is decided by a hash of doc_id, so that reruns agree.
     """
@@ -104,6 +104,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     solved = multipliers(by_size, targets(by_size, weights, share, most), most)
     extra = extra_copies(by_size, solved, most)
     place = F.row_number().over(Window.partitionBy("key", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "rid"))
-    counted = rows.where("size > 0").withColumn("place", place).join(extra, ["key", "size", "salt"]).select("doc_id", "rid", "key", "size", (F.col("whole") + (F.col("place") <= F.col("extra")).cast("long")).alias("copies"))
-    everything = counted.unionByName(rows.where("size = 0").select("doc_id", "rid", "key", "size", F.lit(0).cast("long").alias("copies")))
-    return everything.join(solved.select("key", "source_size", "target"), "key").select("doc_id", "rid", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    counted = rows.where("size > 0").withColumn("place", place).join(extra, ["key", "size", "salt"]).select("doc_id", "rid", "key", "th", "size", (F.col("whole") + (F.col("place") <= F.col("extra")).cast("long")).alias("copies"))
+    everything = counted.unionByName(rows.where("size = 0").select("doc_id", "rid", "key", "th", "size", F.lit(0).cast("long").alias("copies")))
+    return everything.join(solved.select("key", "source_size", "target"), "key").select("doc_id", "rid", "key", "th", "size", "source_size", "target", "copies",
+                                                                                                                      (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as the mix takes it. The copies of rows equal in identifier, text and source are added up."""
+    def key(identifier, text_hash, source):
+        return F.concat_ws(":", F.coalesce(identifier.cast("string"), F.lit("-")), F.coalesce(text_hash.cast("string"), F.lit("-")), source)
+
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).where("copies > 0")
+    copies = taken.groupBy(key(F.col("doc_id"), F.col("th"), F.col("key")).alias("_row")).agg(F.sum("copies").alias("_copies"))
+    source = F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`")), F.lit("-"))
+    marked = docs.withColumn("_row", key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`")), source)).dropDuplicates(["_row"])
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*names)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import exact_dedup, fingerprints, jaccard_join, language_id, license_scan, mixing, packing, secret_scan, url_filter
+from tallyframe.llm import exact_dedup, fingerprints, jaccard_join, language_id, license_scan, lm_scoring, mixing, packing, secret_scan, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -47,8 +47,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(documents(spark, sf_dir), lambda doc_id: language_id.held_out(doc_id, folds=7), RANKS, PATTERN)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(documents(spark, sf_dir)).drop("key")
+    return jaccard_join.jaccard_join(documents(spark, sf_dir)).drop("label", "th")
 
 
 # A history of two lists for the hosts of the pages, by rules on the smallest page of each host: dates as days from the first of 2024.
@@ -76,7 +80,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Run]:
-    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op3_iblt_fingerprints, op4_entropy_mixing, op5_language_id, op6_exact_dedup, op8_jaccard_join, op9_temporal_url_filter, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op3_iblt_fingerprints, op4_entropy_mixing, op5_language_id, op6_exact_dedup, op7_attention_lm, op8_jaccard_join, op9_temporal_url_filter, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
