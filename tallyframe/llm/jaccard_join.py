@@ -15,13 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.components import components
 from tallyframe.llm.shared import byte_texts, picked, sub_batches, written
 
-SHORT_LIST, LEADERS, SKETCH, BITS = 64, 4, 256, 1 << 25
+SHORT_LIST, LEADERS, SKETCH, BITS = 64, 4, 256, 1 << 27
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _POWERS = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full((1 << 16) - 1, 0x9E3779B97F4A7C15, np.uint64))), dtype=np.uint64)
@@ -59,12 +59,17 @@ def set_key(found: np.ndarray) -> int:
     return int(mixed(np.array([mixed(found + np.uint64(len(found))).sum(dtype=np.uint64)], np.uint64)).view(np.int64)[0])
 
 
-def first_lists(found: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles whose lists have to be searched: all but ``T - 1``, frequent ones last."""
-    if len(frequent):
-        often = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found
-        found = np.concatenate((found[~often], found[often]))
-    return found[:len(found) + (-percent * len(found)) // 100 + 1]
+def first_lists(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> tuple[np.ndarray, int]:
+    """The shingles whose lists have to be searched, all but ``T - 1``: frequent ones last, by how frequent. And how many are not frequent."""
+    values, ranks = frequent
+    light = len(found)
+    if len(values):
+        at = np.minimum(np.searchsorted(values, found), len(values) - 1)
+        often = values[at] == found
+        light = int((~often).sum())
+        found = np.concatenate((found[~often], found[often][np.argsort(ranks[at[often]])]))
+    most = len(found) + (-percent * len(found)) // 100 + 1
+    return found[:most], min(light, most)
 
 
 def counted(found: np.ndarray) -> bytes:
@@ -72,8 +77,9 @@ def counted(found: np.ndarray) -> bytes:
     return np.bincount((found >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH).astype(np.uint8).tobytes()
 
 
-def frequent_shingles(rows: DataFrame, words: int, one_in: int = 16, most: int = 300_000) -> np.ndarray:
-    """The most frequent shingles of one in ``one_in`` texts (by hash), of those in two or more: at most ``most``. They only set the order."""
+def frequent_shingles(rows: DataFrame, words: int, one_in: int = 16, most: int = 300_000) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of one in ``one_in`` texts (by hash), of those in two or more: at most ``most``, in order of value, and
+    the place of each from the least frequent on. They only set the order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
             sets = [shingles(t, words) for t in byte_texts(batch, "text")]
@@ -81,29 +87,46 @@ def frequent_shingles(rows: DataFrame, words: int, one_in: int = 16, most: int =
 
     some = rows.where(F.pmod("th", F.lit(one_in)) == 0).dropDuplicates(["th"]).select("text").mapInArrow(run, "s long")
     often = some.groupBy("s").count().where("count > 1").orderBy(F.desc("count"), "s").limit(most).select("s").toArrow()["s"]
-    return np.sort(often.to_numpy().view(np.uint64))
+    values = often.to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    return values[order], len(values) - order.astype(np.int32)
 
 
-def indexed(rows: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
-    """doc_id, th, key (null for an empty set), n and the shingles to search of every document."""
+def indexed(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
+    """doc_id, th, key (null for an empty set), n and the shingles to search of every document, the first ``light`` of them not frequent."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
-    names = ["doc_id", "th", "key", "n", "first"]
+    names = ["doc_id", "th", "key", "n", "light", "first"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
             sets = [shingles(t, words) for t in byte_texts(batch, "text")]
-            firsts = [first_lists(s, shared.value, percent).view(np.int64) if len(s) else s.view(np.int64) for s in sets]
-            first = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(f) for f in firsts]))), pa.int32()), pa.array(np.concatenate(firsts)))
+            firsts, lights = zip(*[first_lists(s, shared.value, percent) if len(s) else (s, 0) for s in sets])
+            first = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(f) for f in firsts]))), pa.int32()), pa.array(np.concatenate(firsts).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("th"), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
-                                              pa.array([len(s) for s in sets], pa.int64()), first], names=names)
+                                              pa.array([len(s) for s in sets], pa.int64()), pa.array(lights, pa.int64()), first], names=names)
 
-    return written(rows.mapInArrow(run, "doc_id long, th long, key long, n long, first array<bigint>"), "indexed")
+    return written(rows.mapInArrow(run, "doc_id long, th long, key long, n long, light long, first array<bigint>"), "indexed")
+
+
+def inverted(index: DataFrame) -> DataFrame:
+    """(token, key, n, pos, df) of the lists of two sets or more. Lists of frequent shingles are counted first and joined; all others are short
+    enough to be counted where they meet."""
+    tokens = index.where("key is not null").dropDuplicates(["key"]).select("key", "n", "light", F.posexplode("first").alias("pos", "token"))
+    light, heavy = (tokens.where(side).select("token", "key", "n", "pos") for side in ("pos < light", "pos >= light"))
+    dfs = heavy.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    met = light.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    return written(met.unionByName(heavy.join(dfs, "token")), "lists")
 
 
 def size_fits(percent: int):
     return (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
 
 
+def first_fits(percent: int):
+    """Whether two sets can link whose first shingle in common is at ``pa`` and ``pb``: no more than what follows it is shared."""
+    return F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+
+
 def sides(lists: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     return tuple(lists.select("token", *[F.col(c).alias(f"{c[0]}{side}" if c != "key" else side) for c in ("key", "n", "pos", *more)]) for side in "ab")
 
@@ -124,32 +147,58 @@ def candidates(lists: DataFrame, percent: int) -> DataFrame:
     return short.unionByName(led).distinct()
 
 
-def sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(key, shingles, sketch) of the documents ``wanted`` (th), from their texts. A bitmap of fixed size tells most others apart before any work."""
-    bits = wanted.select((F.pmod("th", F.lit(BITS)) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+def bitmap(numbers: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size of the numbers in the first column, by their low bits."""
+    bits = numbers.select((F.pmod(F.col(numbers.columns[0]), F.lit(BITS)) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     table = np.zeros(BITS // 8, np.uint8)
     for part, found in bits:
         table[(part - 1) * len(found):part * len(found)] = np.frombuffer(found, np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+    return table
+
+
+def marked(column: pa.ChunkedArray | pa.Array, table: np.ndarray) -> pa.Array:
+    bit = column.to_numpy() % BITS
+    return pa.array(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0)
+
+
+def row_mark():
+    """A number of a row's identifier and text: of equal texts one row is asked for its set."""
+    return F.xxhash64("doc_id", "th")
+
+
+def sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(key, shingles, sketch) of the rows ``wanted`` (mark), from their texts, without a shuffle. A bitmap of fixed size tells others apart before any
+    work; one that passes by chance is a set that no pair names, and a repeated row is compared twice."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in sub_batches(batches, "text"):
-            bit = batch.column("th").to_numpy() % BITS
-            batch = batch.filter(pa.array(shared.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0))
+            batch = batch.filter(marked(batch.column("mark"), shared.value))
             out = []
-            for th, text in zip(batch.column("th").to_pylist(), byte_texts(batch, "text")):
-                if th not in seen:
+            for mark, text in zip(batch.column("mark").to_pylist(), byte_texts(batch, "text")):
+                if mark not in seen:
                     if len(seen) > 200_000:
                         seen.clear()
-                    seen.add(th)
+                    seen.add(mark)
                     found = shingles(text, words)
-                    out.append((th, set_key(found) if len(found) else None, found.tobytes(), counted(found)))
+                    if len(found):
+                        out.append((set_key(found), found.tobytes(), counted(found)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["th", "key", "shingles", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], names=["key", "shingles", "sketch"])
+
+    return written(rows.select(row_mark().alias("mark"), "text").mapInArrow(run, "key long, shingles binary, sketch binary"), "sets")
+
+
+def asked(sets: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """(key, column) of the sets that ``keys`` names, and of few others: what has no use is left out before it is sent anywhere."""
+    shared = sets.sparkSession.sparkContext.broadcast(bitmap(keys))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(marked(batch.column("key"), shared.value))
 
-    found = rows.select("th", "text").mapInArrow(run, "th long, key long, shingles binary, sketch binary").join(wanted, "th", "left_semi")
-    return written(found.groupBy("key").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")), "sets")
+    return sets.select("key", column).mapInArrow(run, f"key long, {column} binary")
 
 
 def probed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -174,7 +223,7 @@ def probed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return 100 * common >= percent * (na + nb - common)
 
     def step(those, column, test):
-        a, b = (sets.select(F.col("key").alias(side), F.col(column).alias(f"x{side}")) for side in "ab")
+        a, b = (asked(sets, column, those.select(side)).toDF(side, f"x{side}") for side in "ab")
         return those.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(kept(test), "a long, b long, na long, nb long")
 
     return written(step(written(step(pairs, "sketch", can_link), "possible"), "shingles", links).select("a", "b"), "links")
@@ -189,21 +238,19 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     """
     rows = picked(docs, doc_id=id_col, text=text_col).withColumn("th", F.xxhash64("text"))
     index = indexed(rows, frequent_shingles(rows, words), words, percent)
-    sets = index.where("key is not null").groupBy("key").agg(F.min("th").alias("th"), F.min("doc_id").alias("least_id"))
-    tokens = index.where("key is not null").dropDuplicates(["key"]).select("key", "n", F.posexplode("first").alias("pos", "token"))
-    dfs = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    lists = written(tokens.join(dfs, "token"), "lists")
+    sets = index.where("key is not null").groupBy("key").agg(F.min(row_mark()).alias("mark"), F.min("doc_id").alias("least_id"))
+    lists = inverted(index)
     pairs = written(candidates(lists, percent), "candidates")
     long_lists = lists.where(F.col("df") > SHORT_LIST)
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(long_lists.select("key")).distinct()
-    found = sets_of(rows, written(wanted.join(sets, "key").select("th"), "wanted"), words)
+    found = sets_of(rows, written(wanted.join(sets, "key").select("mark"), "wanted"), words)
     links = probed(pairs, found, percent)
     labels = components(links)
     # Long lists that are not one component yet: their sets of different components, as far as they were not compared.
     labelled = long_lists.join(labels, F.col("key") == F.col("node"), "left").select("token", "key", "n", "pos", F.coalesce("label", "key").alias("label"))
     split = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
     left, right = sides(labelled.join(split, "token", "left_semi"), "label")
-    more = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & size_fits(percent)).select("a", "b", "na", "nb").distinct()
+    more = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & size_fits(percent) & first_fits(percent)).select("a", "b", "na", "nb").distinct()
     more = written(more.join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         labels = components(links.unionByName(probed(more, found, percent)))
