@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import exact_dedup, fingerprints, jaccard_join, language_id, license_scan, lm_scoring, mixing, packing, secret_scan, url_filter
+from tallyframe.llm import (conversation_repair, exact_dedup, fingerprints, jaccard_join, language_id, license_scan, lm_scoring, mixing, packing, secret_scan, simhash_join, spelling,
+                            url_filter)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -79,8 +80,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(documents(spark, sf_dir))
 
 
+def op11_simhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_join.simhash_join(documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.conversation_repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Run]:
-    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op3_iblt_fingerprints, op4_entropy_mixing, op5_language_id, op6_exact_dedup, op7_attention_lm, op8_jaccard_join, op9_temporal_url_filter, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_license_scan, op2_harmonic_packing, op3_iblt_fingerprints, op4_entropy_mixing, op5_language_id, op6_exact_dedup, op7_attention_lm, op8_jaccard_join, op9_temporal_url_filter, op10_secret_scan,
+                                    op11_simhash_join, op12_spelling_variants, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
