@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_apply(spark: SparkSession, values: list, kind: str, function: Callable, out_kind: str, slices: int | None = None) -> DataFrame:
-    """``function`` over a distributed list; (position, value) rows."""
-    rows = spark.createDataFrame(list(enumerate(values)), f"position long, value {kind}")
+def list_apply(spark: SparkSession, values: list | DataFrame, kind: str, function: Callable, out_kind: str, slices: int | None = None) -> DataFrame:
+    """``function`` over a distributed list, given as a list or as (position, value) rows; (position, value) rows."""
+    rows = values if isinstance(values, DataFrame) else spark.createDataFrame(list(enumerate(values)), f"position long, value {kind}")
     rows = rows if slices is None else rows.repartition(slices)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,8 +68,12 @@ def group_apply_merged(df: DataFrame, keys: list[str], partial: Callable[[pd.Dat
             if not len(batch):
                 continue
             rows = batch if carried is None else pd.concat([carried, batch], ignore_index=True)
-            end, folded = rows[keys].iloc[-1], merge(rows, False)
-            same = ((folded[keys] == end) | (folded[keys].isna() & end.isna())).all(axis=1)
+            folded = merge(rows, False)
+            # Column by column: keys of several types in one Series would lose theirs.
+            same = pd.Series(True, index=folded.index)
+            for k in keys:
+                end = rows[k].iloc[-1]
+                same &= folded[k].isna() if pd.isna(end) else folded[k] == end
             if not same.all():
                 yield merge(folded[~same], True)
             carried = folded[same]

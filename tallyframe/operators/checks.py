@@ -14,7 +14,7 @@ def content_hash(df: DataFrame, null_safe: bool = False) -> DataFrame:
     texts = [F.col(f"`{c}`").cast("string") for c in df.columns]
     if null_safe:
         texts = [F.coalesce(t, F.lit("\\N")) for t in texts]
-    return df.select(F.crc32(F.concat_ws(",", *texts)).alias("crc")).agg(F.sum("crc").alias("content_hash"))
+    return df.select(F.crc32(F.concat_ws(",", *texts)).cast("decimal(20,0)").alias("crc")).agg(F.sum("crc").alias("content_hash"))
 
 
 def as_check(build, null_safe: bool = False):
@@ -27,14 +27,6 @@ def run_everywhere(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def collect_small(df: DataFrame, most: int = 100_000) -> list:
-    """Rows on the driver; refuses an answer that is not small."""
-    rows = df.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} rows; write the result instead")
-    return rows
-
-
 def force_all_columns(df: DataFrame) -> DataFrame:
     """One row that depends on every output column, so that none can be pruned away.
 

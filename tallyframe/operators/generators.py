@@ -15,21 +15,23 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def ints(spark: SparkSession, rows: int, partitions: int | None = None) -> DataFrame:
-    return spark.range(0, rows, 1, partitions)
+def ints(source: SparkSession | DataFrame, rows: int | str, partitions: int | None = None) -> DataFrame:
+    """Whole numbers as ``id``: so many from 0 on, or those in a column of a table."""
+    return source.select(F.col(rows).alias("id")) if isinstance(source, DataFrame) else source.range(0, rows, 1, partitions)
 
 
-def group_ints(spark: SparkSession, groups: int, per_group: int = 10000) -> DataFrame:
-    """``a`` is the group (from 1), ``b`` counts from 1 inside it."""
-    return spark.range(groups * per_group).select((F.expr(f"id div {per_group}") + 1).cast("int").alias("a"), (F.col("id") % per_group + 1).cast("int").alias("b"))
+def group_ints(ids: DataFrame, per_group: int = 10000) -> DataFrame:
+    """``a`` is the group (from 1), ``b`` counts from 1 inside it; ids count from 0."""
+    return ids.select((F.expr(f"id div {per_group}") + 1).alias("a"), (F.col("id") % per_group + 1).alias("b"))
 
 
-def two_groups(spark: SparkSession, rows: int) -> DataFrame:
-    return spark.range(rows).select((F.col("id") % 2).alias("a"), F.col("id").alias("b"))
+def two_groups(ids: DataFrame) -> DataFrame:
+    return ids.select((F.col("id") % 2).alias("a"), F.col("id").alias("b"))
 
 
 def uniform(seed: int, *position: Column | int, key: str = "id") -> Column:
@@ -79,6 +81,30 @@ def mixed(ids: DataFrame, arity: list[int], seed: int = 42) -> DataFrame:
     return ids.select("id", array_to_vector(values).alias("features", metadata=metadata))
 
 
+def attribute_table(df: DataFrame, column: str) -> list[tuple[str, int, str, int]]:
+    """(column, position, kind, arity) of every attribute that a column's metadata declares; a nominal one has as many values as its arity, a numeric one 0."""
+    declared = df.schema[column].metadata.get("ml_attr", {})
+    if "attrs" not in declared:
+        return [(column, 0, declared["type"], len(declared.get("vals", [])))] if declared else []
+    return sorted((column, a["idx"], kind, len(a.get("vals", []))) for kind, those in declared["attrs"].items() for a in those)
+
+
+def attribute_report(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, position, kind, arity, rows, misfits): what the columns' metadata declares, next to how many rows there are and how many values are not whole
+    numbers below the arity. One pass over the rows."""
+    declared = [a for c in columns for a in attribute_table(df, c)]
+
+    def value(column, position):
+        return vector_to_array(F.col(column))[position] if isinstance(df.schema[column].dataType, VectorUDT) else F.col(column)
+
+    parts = []
+    for column, position, kind, arity in declared:
+        v = value(column, position)
+        misfit = (v < 0) | (v >= arity) | (v != F.floor(v)) if arity else F.lit(False)
+        parts.append(F.struct(F.lit(column).alias("column"), F.lit(position).alias("position"), F.lit(kind).alias("kind"), F.lit(arity).alias("arity"), F.count("*").alias("rows"), F.count(F.when(misfit, 1)).alias("misfits")))
+    return df.agg(F.array(*parts).alias("attributes")).select(F.inline("attributes"))
+
+
 def with_label_metadata(df: DataFrame, classes: int = 0) -> DataFrame:
     """Mark the label as nominal with so many classes, or as numeric for 0."""
     attribute = {"type": "nominal", "vals": [str(c) for c in range(classes)], "name": "label"} if classes else {"type": "numeric", "name": "label"}

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.functions.verbs import one_row
+from tallyframe.operators.ordering import cumulated, ranked
 
 
 def star_join(fact: DataFrame, dimensions: list[tuple[DataFrame, str]], keys: list[str], measures: list[Column]) -> DataFrame:
@@ -60,8 +61,8 @@ def versus_all(df: DataFrame, value: Column, name: str, test: str) -> DataFrame:
 def rollup_ranked(df: DataFrame, parent: str, child: str, measure: Column, name: str) -> DataFrame:
     """Two-level rollup with grouping level and rank inside the parent level (highest first)."""
     levels = df.rollup(parent, child).agg(measure.alias(name), (F.grouping(parent) + F.grouping(child)).alias("level"), F.grouping(child).alias("is_total"))
-    inside = W.partitionBy("level", F.when(F.col("is_total") == 0, F.col(parent))).orderBy(F.desc(name))
-    return levels.withColumn("place", F.rank().over(inside)).drop("is_total")
+    levels = levels.withColumn("ranked_in", F.when(F.col("is_total") == 0, F.col(parent)))
+    return ranked(levels, ["level", "ranked_in"], name, "place", descending=True).drop("is_total", "ranked_in")
 
 
 def share_of_group(df: DataFrame, keys: list[str], group: str, value: str) -> DataFrame:
@@ -73,9 +74,8 @@ def share_of_group(df: DataFrame, keys: list[str], group: str, value: str) -> Da
 
 
 def running(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """Running sum and running maximum, rows frame."""
-    frame = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return df.withColumn("running_sum", F.sum(value).over(frame)).withColumn("running_max", F.max(value).over(frame))
+    """Running sum and running maximum, rows frame; a key may hold any share of the rows."""
+    return cumulated(df, keys, [F.asc_nulls_first(order)], sums={"running_sum": value}, maxima={"running_max": value})
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], value: str, n: int) -> DataFrame:
@@ -135,9 +135,9 @@ def variation(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def deviating(df: DataFrame, keys: list[str], group: list[str], value: str, threshold: float) -> DataFrame:
     """Sums per key that differ from their group's average by more than a share of it."""
     sums = df.groupBy(*dict.fromkeys([*group, *keys])).agg(F.sum(value).alias("amount"))
-    window = W.partitionBy(*group)
-    usual = F.try_divide(F.sum("amount").over(window).cast("double"), F.count("amount").over(window))
-    return sums.withColumn("usual", usual).where(F.abs(F.try_divide(F.col("amount").cast("double") - F.col("usual"), F.col("usual"))) > threshold)
+    averages = sums.groupBy(*[F.col(g).alias(f"of_{g}") for g in group]).agg(F.try_divide(F.sum("amount").cast("double"), F.count("amount")).alias("usual"))
+    same = functools.reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"of_{g}")) for g in group])
+    return sums.join(averages, same).select(*sums.columns, "usual").where(F.abs(F.try_divide(F.col("amount").cast("double") - F.col("usual"), F.col("usual"))) > threshold)
 
 
 def one_row_board(df: DataFrame, cells: dict[str, tuple[str, Column]]) -> DataFrame:

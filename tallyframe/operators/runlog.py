@@ -78,7 +78,7 @@ def runtime_full(prefix: str = "") -> Column:
 
 def short_name(column: str = "name") -> Column:
     """The name from its second character on."""
-    return F.substring(column, 2, 100)
+    return F.substr(column, F.lit(2))
 
 
 def normalize_version(version: Column) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml import feature as X
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators import generators as S
@@ -14,11 +17,11 @@ BOOK = Book()
 
 
 def _train(t):
-    return t.orders.select(F.col("o_orderkey").alias("id"))
+    return S.ints(t.orders, "o_orderkey")
 
 
 def _test(t):
-    return t.customer.select(F.col("c_custkey").alias("id"))
+    return S.ints(t.customer, "c_custkey")
 
 
 def _add(key, build, out, sql=None, **rest):
@@ -27,10 +30,10 @@ def _add(key, build, out, sql=None, **rest):
 
 # --- generators: summaries of rows made from order keys -------------------------------------------
 
-_add("gen.ints", lambda t, p: _train(t), "id:l", "SELECT o_orderkey AS id FROM orders")
-_add("gen.group_ints", lambda t, p: _train(t).select((F.expr(f"id div {p.per_group}") + 1).alias("a"), (F.col("id") % p.per_group + 1).alias("b")), "a:l b:l",
+_add("gen.ints", lambda t, p: S.ints(t.orders, "o_orderkey"), "id:l", "SELECT o_orderkey AS id FROM orders")
+_add("gen.group_ints", lambda t, p: S.group_ints(S.ints(t.orders, "o_orderkey"), p.per_group), "a:l b:l",
      "SELECT o_orderkey // {per_group} + 1 AS a, o_orderkey % {per_group} + 1 AS b FROM orders", params={"per_group": 1000})
-_add("gen.two_groups", lambda t, p: _train(t).select((F.col("id") % 2).alias("a"), F.col("id").alias("b")), "a:l b:l", "SELECT o_orderkey % 2 AS a, o_orderkey AS b FROM orders")
+_add("gen.two_groups", lambda t, p: S.two_groups(S.ints(t.orders, "o_orderkey")), "a:l b:l", "SELECT o_orderkey % 2 AS a, o_orderkey AS b FROM orders")
 
 
 def _spread(df, column="features"):
@@ -70,6 +73,37 @@ for _key, _stage in (("planted_linear", "linreg"), ("planted_logistic", "logreg"
     _add(f"gen.{_key}", _planted(_stage), "rows:l labels:l lowest:d6 highest:d6")
 
 
+def _attributes(t, p):
+    """What the metadata of planted features and labels declares, and whether the rows keep to it."""
+    parts = []
+    for name in ("tree_class", "gbt_class", "tree_reg", "nb"):
+        train, _, _ = M.stage_data(name, _train(t), _test(t))
+        parts.append(S.attribute_report(train, ["features", "label"]).select(F.lit(name).alias("stage"), "*"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _attributes_sql():
+    tree = [2] * 3 + [20] * 3 + [0] * 6
+    declared = [(n, "features", i, a) for n in ("tree_class", "gbt_class", "tree_reg") for i, a in enumerate(tree)] + [("tree_class", "label", 0, 4), ("gbt_class", "label", 0, 2), ("tree_reg", "label", 0, 0)]
+    declared += [("nb", "features", i, 2 + i * 17 // 9) for i in range(10)]
+    values = ", ".join(f"('{n}', '{c}', {i}, '{'nominal' if a else 'numeric'}', {a})" for n, c, i, a in declared)
+    return f"SELECT stage, \"column\", position, kind, arity, n AS rows, 0 AS misfits FROM (VALUES {values}) AS d(stage, \"column\", position, kind, arity), (SELECT count(*) AS n FROM orders)"
+
+
+_add("gen.label_metadata", _attributes, "stage:s column:s position:i kind:s arity:i rows:l misfits:l", _attributes_sql())
+
+
+def _test_rows(t, p):
+    """Test rows come from the training generator with the next seed: the same shape, other values, and no row in both."""
+    train, test, _ = M.stage_data("linreg", _train(t), _test(t))
+    rows = [df.select(F.lit(n).alias("part"), F.crc32(vector_to_array("features").cast("string")).alias("h"), F.size(vector_to_array("features")).alias("width")) for n, df in (("train", train), ("test", test))]
+    both = rows[0].unionByName(rows[1])
+    shared = both.groupBy("h").agg(F.count_distinct("part").alias("parts")).where("parts > 1")
+    return both.join(shared, "h", "left").groupBy("part").agg(F.count("*").alias("rows"), F.max("width").alias("features"), (F.count("parts") < F.count("*") / 100).alias("other_values"))
+
+
+_add("gen.test_from_train", _test_rows, "part:s rows:l features:i other_values:b", "SELECT 'train' AS part, count(*) AS rows, 10 AS features, true AS other_values FROM orders UNION ALL SELECT 'test', count(*), 10, true FROM customer")
+
 # --- stages ---------------------------------------------------------------------------------------
 
 
@@ -84,6 +118,22 @@ def _stage_report(name):
 for _name in M.STAGES:
     _add(f"ml.{_name}", _stage_report(_name), "stage:s metricName:s metricValue:d4 isLargerBetter:b")
 
+_add("ml.lda_em", lambda t, p: t.spark.createDataFrame([("lda", *r) for r in M.run_stage("lda", _train(t), _test(t), optimizer="em")[1]], "stage string, metricName string, metricValue double, isLargerBetter boolean"),
+     "stage:s metricName:s metricValue:d4 isLargerBetter:b")
+
+
+def _scored(t, p):
+    """The score of a model that is given: is a supplier above a balance? F1 by the evaluator, from the same counts in SQL."""
+    rows = t.supplier.select((F.col("s_acctbal") > p.least).cast("double").alias("prediction"), (F.col("s_suppkey") % 2).cast("double").alias("label"))
+    value, larger = M.evaluate(X.SQLTransformer(statement="SELECT * FROM __THIS__"), rows, M._multiclass())
+    return t.spark.createDataFrame([("f1", value, larger)], "metricName string, metricValue double, isLargerBetter boolean")
+
+
+_add("ml.score_evaluator", _scored, "metricName:s metricValue:d6 isLargerBetter:b", """
+WITH rows AS (SELECT (s_acctbal > {least})::INT AS p, s_suppkey % 2 AS l FROM supplier),
+classes AS (SELECT c, count(*) FILTER (WHERE l = c) AS actual, count(*) FILTER (WHERE p = c) AS said, count(*) FILTER (WHERE p = c AND l = c) AS hit, count(*) AS n FROM rows, (VALUES (0), (1)) AS v(c) GROUP BY c)
+SELECT 'f1' AS metricName, sum(actual::DOUBLE / n * CASE WHEN hit = 0 THEN 0 ELSE 2.0 * hit / (actual + said) END) AS metricValue, true AS isLargerBetter FROM classes""", params={"least": 4000})
+
 # Stages whose answer plain SQL can give, on the given tables.
 _add("ml.tokenizer_words", lambda t, p: X.Tokenizer(inputCol="text", outputCol="words").transform(t.documents).select("doc_id", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("uses")), "word:s uses:l",
      "SELECT word, count(*) AS uses FROM (SELECT unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\x0b\\f\\r]')) AS word FROM documents) GROUP BY word")
@@ -100,19 +150,21 @@ _add("ml.bucketizer_prices", lambda t, p: X.Bucketizer(splits=[-float("inf"), *_
      "SELECT o_orderkey, (SELECT count(*) FROM unnest([{edges}]) AS u(e) WHERE o_totalprice >= e) AS bucket FROM orders", params={"edges": _EDGES})
 _add("ml.one_hot_region", lambda t, p: X.OneHotEncoder(inputCols=["n_regionkey"], outputCols=["hot"], dropLast=False).fit(t.nation).transform(t.nation).select("n_nationkey", F.array_join(F.transform(vector_to_array("hot"), lambda v: v.cast("int").cast("string")), "").alias("hot")),
      "n_nationkey:i hot:s", "SELECT n_nationkey, repeat('0', n_regionkey) || '1' || repeat('0', (SELECT max(n_regionkey) FROM nation) - n_regionkey) AS hot FROM nation")
-_add("ml.vector_slicer_embedding", lambda t, p: X.VectorSlicer(inputCol="v", outputCol="even", indices=[0, 2, 4, 6]).transform(t.embeddings.select("vec_id", S.array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))).select("vec_id", F.explode(vector_to_array("even")).alias("value")),
-     "vec_id:l value:d", "SELECT vec_id, unnest([embedding[1], embedding[3], embedding[5], embedding[7]]) AS value FROM embeddings")
+_add("ml.vector_slicer_embedding", lambda t, p: X.VectorSlicer(inputCol="v", outputCol="even", indices=list(range(0, 64, 2))).transform(t.embeddings.select("vec_id", S.array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))).select("vec_id", F.explode(vector_to_array("even")).alias("value")),
+     "vec_id:l value:d", "SELECT vec_id, unnest(embedding[1:64:2]) AS value FROM embeddings")
 
 
 def _frequent(t, p):
-    """Return flags that share orders: frequent item sets of one and two items."""
+    """Return flags and states that share orders: frequent item sets."""
     from pyspark.ml.fpm import FPGrowth
     baskets = t.lineitem.groupBy("l_orderkey").agg(F.collect_set(F.concat("l_returnflag", "l_linestatus")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=p.support).fit(baskets)
-    return model.freqItemsets.where("size(items) <= 2").select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+    return model.freqItemsets.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
 
 
 _add("ml.fpgrowth_flags", _frequent, "items:s freq:l", """
-WITH baskets AS (SELECT DISTINCT l_orderkey AS o, l_returnflag || l_linestatus AS i FROM lineitem), n AS (SELECT count(DISTINCT o) AS n FROM baskets),
-sets AS (SELECT i AS items, count(*) AS freq FROM baskets GROUP BY 1 UNION ALL SELECT a.i || ',' || b.i, count(*) FROM baskets a JOIN baskets b ON a.o = b.o AND a.i < b.i GROUP BY 1)
+WITH baskets AS (SELECT l_orderkey AS o, list(DISTINCT l_returnflag || l_linestatus) AS has FROM lineitem GROUP BY 1), n AS (SELECT count(*) AS n FROM baskets),
+kinds AS (SELECT list_sort(list(DISTINCT l_returnflag || l_linestatus)) AS k FROM lineitem), masks AS (SELECT k, unnest(range(1, (1 << len(k))::BIGINT)) AS m FROM kinds),
+wanted AS (SELECT list_filter(k, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items FROM masks),
+sets AS (SELECT array_to_string(w.items, ',') AS items, count(*) AS freq FROM wanted w JOIN baskets ON list_has_all(has, w.items) GROUP BY 1)
 SELECT items, freq FROM sets, n WHERE freq >= ceil({support} * n)""", params={"support": 0.3})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import decimal
 import functools
+import itertools
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -45,6 +47,11 @@ SIZES = {"small": ("customer", "c_custkey"), "mid": ("orders", "o_orderkey"), "l
 _IDS_SQL = ", ".join(f"{n} AS (SELECT {e} AS id FROM {t})" for n, (t, e) in SIZES.items())
 
 
+def wide(column: str = "id"):
+    """A key as a decimal: 64-bit sums of keys end at large scale."""
+    return F.col(column).cast("decimal(28,0)")
+
+
 def ids(t, size: str) -> DataFrame:
     table, key = SIZES[size]
     return t.table(table).select(F.expr(key).alias("id"))
@@ -54,23 +61,36 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 
 
-def join_counts(t, p):
-    """COUNT(*) of two id tables joined one way, for all nine size pairs.
+def counted_ids(t) -> DataFrame:
+    """How often each id is in each of the three tables: one pass over each, one shuffle for all."""
+    tagged = _all([ids(t, size).select("id", *[F.lit(int(size == s)).alias(s) for s in SIZES]) for size in SIZES])
+    return tagged.groupBy("id").agg(*[F.sum(s).alias(s) for s in SIZES])
 
-    Matches are counted per id on each side first, so that repeated ids multiply numbers instead of rows.
-    """
-    def counted(size, name):
-        return ids(t, size).groupBy("id").agg(F.count("*").alias(name))
 
+def pair_counts(counts: DataFrame, how: str, pairs: list[tuple[str, str]]) -> DataFrame:
+    """COUNT(*) of the pairs of tables joined one way, from the counts of each id: repeated ids multiply numbers instead of rows. NULL matches nothing."""
     rows = []
-    for a in SIZES:
-        for b in SIZES:
-            both = counted(a, "n").join(counted(b, "m"), "id", p.how)
-            pairs = F.coalesce("n", F.lit(1)) * F.coalesce("m", F.lit(1))
-            rows.append(both.agg(F.coalesce(F.sum(pairs), F.lit(0)).alias("cnt")).select(F.lit(a).alias("left_table"), F.lit(b).alias("right_table"), "cnt"))
+    for a, b in pairs:
+        x, y = (F.col(c).cast("decimal(19,0)") for c in (a, b))
+        matches = F.when(F.col("id").isNotNull() & (x > 0) & (y > 0), x * y).otherwise({"inner": F.lit(0), "left": x, "right": y, "full": x + y}[how])
+        rows.append(F.struct(F.lit(a).alias("left_table"), F.lit(b).alias("right_table"), F.coalesce(F.sum(matches), F.lit(0)).alias("cnt")))
+    return counts.agg(F.array(*rows).alias("pairs")).select(F.inline("pairs"))
+
+
+def joined_pair_counts(frames: dict[str, DataFrame], how: str) -> DataFrame:
+    """The same from a table for each size, joined two by two: where the tables are bucketed by id, nothing is shuffled below a join."""
+    counts = {size: df.groupBy("id").agg(F.count("*").alias(size)) for size, df in frames.items()}
+    rows = [pair_counts(df, how, [(size, size)]) for size, df in counts.items()]
+    for a, b in itertools.combinations(frames, 2):
+        rows.append(pair_counts(counts[a].join(counts[b], "id", "full").fillna(0, [a, b]), how, [(a, b), (b, a)]))
     return _all(rows)
 
 
+def join_counts(t, p):
+    """COUNT(*) of two id tables joined one way, for all nine size pairs."""
+    return pair_counts(counted_ids(t), p.how, [(a, b) for a in SIZES for b in SIZES])
+
+
 for _how, _words in (("inner", "JOIN"), ("right", "RIGHT JOIN"), ("left", "LEFT JOIN"), ("full", "FULL JOIN")):
     BOOK.add(f"join.single_key.{_how}", join_counts, "left_table:s right_table:s cnt:l", f"WITH {_IDS_SQL}\n" + "\nUNION ALL ".join(
         f"SELECT '{a}' AS left_table, '{b}' AS right_table, count(*) AS cnt FROM {a} x {_words} {b} y ON x.id = y.id" for a in SIZES for b in SIZES), suite="given", params={"how": _how})
@@ -79,13 +99,17 @@ for _how, _words in (("inner", "JOIN"), ("right", "RIGHT JOIN"), ("left", "LEFT
 def join_payload(t, p):
     rows = []
     for size in p.sizes:
-        keyed = ids(t, "mid").select("id", F.lit("*" * size).alias("data"))
+        keyed = ids(t, "mid").select("id", F.rpad(F.col("id").cast("string"), size, "*").alias("data"))
         both = keyed.alias("a").join(keyed.alias("b"), F.col("a.id") == F.col("b.id"))
-        rows.append(both.agg(F.count("*").alias("rows"), F.sum(F.length("a.data") + F.length("b.data")).alias("bytes")).select(F.lit(size).alias("size"), "rows", "bytes"))
+        # The digest needs every byte of both sides behind the join.
+        rows.append(both.agg(F.count("*").alias("rows"), F.sum(F.length("a.data") + F.length("b.data")).alias("bytes"), F.min(F.md5(F.concat("a.data", "b.data"))).alias("digest")).select(F.lit(size).alias("size"), "rows", "bytes", "digest"))
     return _all(rows)
 
 
-BOOK.add("join.data_size", join_payload, "size:i rows:l bytes:l", "SELECT s AS size, count(*) AS rows, sum(2 * s) AS bytes FROM orders a JOIN orders b USING (o_orderkey), unnest([{sizes}]) AS sizes(s) GROUP BY s",
+BOOK.add("join.data_size", join_payload, "size:i rows:l bytes:l digest:s", """
+SELECT s AS size, count(*) AS rows, sum(length(a.data) + length(b.data)) AS bytes, min(md5(a.data || b.data)) AS digest
+FROM (SELECT o_orderkey, s, rpad(o_orderkey::VARCHAR, s, '*') AS data FROM orders, unnest([{sizes}]) AS sizes(s)) a
+     JOIN (SELECT o_orderkey, s, rpad(o_orderkey::VARCHAR, s, '*') AS data FROM orders, unnest([{sizes}]) AS sizes(s)) b USING (o_orderkey, s) GROUP BY s""",
          suite="given", params={"sizes": [1, 128, 256, 512, 1024]})
 
 
@@ -117,7 +141,7 @@ def averages_by_groups(t, p):
     lines = ids(t, "large")
     rows = []
     for size in p.sizes:
-        groups = lines.groupBy((F.col("id") % size).alias("a")).agg(mean("id", "average"))
+        groups = lines.groupBy((F.col("id") % size).alias("a")).agg(mean(wide(), "average"))
         rows.append(groups.agg(F.count("*").alias("groups"), F.min("average").alias("lowest"), F.max("average").alias("highest")).select(F.lit(size).alias("size"), "groups", "lowest", "highest"))
     return _all(rows)
 
@@ -128,7 +152,7 @@ BOOK.add("agg.num_groups", averages_by_groups, "size:l groups:l lowest:d highest
 
 
 def two_groups(t, p):
-    return _all([ids(t, s).groupBy((F.col("id") % 2).alias("a")).agg(mean("id", "average")).select(F.lit(s).alias("size"), "a", "average") for s in SIZES])
+    return _all([ids(t, s).groupBy((F.col("id") % 2).alias("a")).agg(mean(wide(), "average")).select(F.lit(s).alias("size"), "a", "average") for s in SIZES])
 
 
 _EACH_SQL = " UNION ALL ".join(f"SELECT '{s}' AS size, id FROM {s}" for s in SIZES)
@@ -136,14 +160,14 @@ BOOK.add("agg.two_groups", two_groups, "size:s a:l average:d", f"WITH {_IDS_SQL}
 
 
 def complex_input(t, p):
-    return _all([ids(t, s).agg(F.sum(functools.reduce(lambda a, b: a + b, [F.col("id")] * 10)).alias("total")).select(F.lit(s).alias("size"), "total") for s in SIZES])
+    return _all([ids(t, s).agg(F.sum(functools.reduce(lambda a, b: a + b, [wide()] * 10)).alias("total")).select(F.lit(s).alias("size"), "total") for s in SIZES])
 
 
 BOOK.add("agg.complex_input", complex_input, "size:s total:l", f"WITH {_IDS_SQL}\nSELECT size, 10 * sum(id) AS total FROM ({_EACH_SQL}) GROUP BY size", suite="given")
 
 
 def single_aggregates(t, p):
-    return _all([ids(t, s).agg(total("id", "total"), mean("id", "average"), F.count("id").alias("cnt"), F.stddev("id").alias("deviation")).select(F.lit(s).alias("size"), "*") for s in SIZES])
+    return _all([ids(t, s).agg(total(wide(), "total"), mean(wide(), "average"), F.count("id").alias("cnt"), F.stddev("id").alias("deviation")).select(F.lit(s).alias("size"), "*") for s in SIZES])
 
 
 BOOK.add("agg.single", single_aggregates, "size:s total:l average:d cnt:l deviation:d3", f"WITH {_IDS_SQL}\nSELECT size, sum(id) AS total, sum(id)::DOUBLE / count(*) AS average, count(*) AS cnt, stddev_samp(id) AS deviation FROM ({_EACH_SQL}) GROUP BY size", suite="given")
@@ -164,7 +188,7 @@ def four_maps(t, p):
 
 
 def key_average(t, p):
-    return ids(t, "mid").agg(mean("id", "average"))
+    return ids(t, "mid").agg(mean(wide(), "average"))
 
 
 def key_average_udaf(t, p):
@@ -172,10 +196,10 @@ def key_average_udaf(t, p):
     def partial(batches):
         rows, amount = 0, 0
         for batch in batches:
-            rows, amount = rows + len(batch), amount + int(batch["id"].sum())
-        yield pd.DataFrame({"amount": [amount], "rows": [rows]})
+            rows, amount = rows + len(batch), amount + sum(map(int, batch["id"]))
+        yield pd.DataFrame({"amount": [decimal.Decimal(amount)], "rows": [rows]})
 
-    parts = ids(t, "mid").mapInPandas(partial, "amount long, rows long")
+    parts = ids(t, "mid").mapInPandas(partial, "amount decimal(38,0), rows long")
     return parts.agg(F.try_divide(F.sum("amount").cast("double"), F.sum("rows")).alias("average"))
 
 

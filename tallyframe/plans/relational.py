@@ -69,7 +69,8 @@ _add("deviation_filter", lambda t, p: R.deviating(t.orders.withColumn("month", F
      "SELECT o_orderpriority, month(o_orderdate) AS month, sum(o_totalprice) AS amount, sum(sum(o_totalprice)) OVER w::DOUBLE / count(*) OVER w AS usual FROM orders GROUP BY o_orderpriority, month(o_orderdate) WINDOW w AS (PARTITION BY o_orderpriority) QUALIFY abs((amount::DOUBLE - usual) / usual) > 0.02::DOUBLE")
 _add("one_row_board", lambda t, p: R.one_row_board(t.lineitem, {f"q{i}": (f"band {i}", F.count(F.when(F.col("l_quantity").between(10 * i + 1, 10 * i + 10), 1))) for i in range(5)}), " ".join(f"q{i}:l" for i in range(5)),
      "SELECT " + ", ".join(f"(SELECT count(*) FROM lineitem WHERE l_quantity > {10 * i} AND l_quantity <= {10 * i + 10}) AS q{i}" for i in range(5)))
-_PROFILED = ["ss_sold_date_sk", "ss_customer_sk", "ss_store_sk", "ss_promo_sk"]
+_PROFILED = [*(f"ss_{c}_sk" for c in ("sold_date", "sold_time", "item", "customer", "cdemo", "hdemo", "addr", "store", "promo")), "ss_ticket_number", "ss_quantity",
+             *(f"ss_{c}" for c in ("wholesale_cost", "list_price", "sales_price", "ext_discount_amt", "ext_sales_price", "ext_wholesale_cost", "ext_list_price", "ext_tax", "coupon_amt", "net_paid", "net_paid_inc_tax", "net_profit"))]
 _add("column_profile", lambda t, p: R.column_profile(t.store_sales, _PROFILED), "column:s rows:l filled:l distinct_values:l longest:i",
      " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS rows, count({c}) AS filled, count(DISTINCT {c}) AS distinct_values, max(length({c}::VARCHAR)) AS longest FROM store_sales" for c in _PROFILED), suite="tpcds")
 _AUDITED = {"store": ("store_sales", ["ss_store_sk", "ss_addr_sk"]), "web": ("web_sales", ["ws_ship_customer_sk", "ws_promo_sk"]), "catalog": ("catalog_sales", ["cs_ship_addr_sk", "cs_call_center_sk"])}

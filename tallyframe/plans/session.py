@@ -13,17 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-# Shuffle partitions by scale factor.
-SHUFFLE_PARTITIONS = ((10_000, 20_000), (1_000, 2_001), (0, 200))
-
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
-
-
-def shuffle_partitions(scale_factor: float) -> int:
-    """Initial number of shuffle partitions; adaptive execution merges small ones."""
-    return next(n for least, n in SHUFFLE_PARTITIONS if scale_factor >= least)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import pandas as pd
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyframe.functions import apply as A
@@ -12,6 +11,7 @@ from tallyframe.operators import checks as C
 from tallyframe.operators import runlog as L
 from tallyframe.plans.registry import Book
 from tallyframe.sources import layout as S
+from tallyframe.sources.stored import scratch
 
 BOOK = Book()
 
@@ -20,15 +20,6 @@ def _add(key, build, out, sql=None, suite="tpch", **rest):
     BOOK.add(key, build, out, sql, suite=suite, **rest)
 
 
-def scratch(spark, name: str) -> str:
-    """A fresh folder on storage that all executors share: under ``spark.checkpoint.dir``, or a local one where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        stamp = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
-        return f"{shared.rstrip('/')}/tallyframe/{name}-{stamp}"
-    return tempfile.mkdtemp(prefix=f"tallyframe-{name}-")
-
-
 _ORDERS = "o_orderkey:l o_custkey:l o_orderstatus:s o_totalprice:d o_orderdate:s o_orderpriority:s o_clerk:s o_shippriority:i o_comment:s"
 _ORDER_NAMES = ", ".join(c.split(":")[0] for c in _ORDERS.split())
 _add("io.parse_delimited", lambda t, p: S.parse_delimited(S.to_delimited(t.orders), t.orders.schema), _ORDERS, f"SELECT {_ORDER_NAMES} FROM orders")
@@ -45,17 +36,26 @@ _add("io.type_switch", lambda t, p: S.switch_types(t.orders, True, True), _ORDER
 
 
 def written(t, p):
-    """Write one table by partition, clustered, and read one partition back through partition pruning."""
+    """Write one table by partition, clustered, and read it back: one partition through partition pruning, and the others."""
     folder = scratch(t.spark, "table") + "/orders"
     S.write_table(t.orders, folder, partition_by=["o_orderpriority"], drop_null_partitions=True)
-    return t.spark.read.parquet(folder).where(F.col("o_orderpriority") == "2-HIGH")
+    back = t.spark.read.parquet(folder)
+    return back.where(F.col("o_orderpriority") == "2-HIGH").unionByName(back.where(F.col("o_orderpriority") != "2-HIGH"))
+
 
+_add("io.write_partitioned", written, _ORDERS, f"SELECT {_ORDER_NAMES} FROM orders")
 
-_add("io.write_partitioned", written, _ORDERS, f"SELECT {_ORDER_NAMES} FROM orders WHERE o_orderpriority = '2-HIGH'")
-_add("io.drop_null_partitions", lambda t, p: t.store_sales.where("ss_sold_date_sk is not null").groupBy("ss_sold_date_sk").agg(F.count("*").alias("rows")), "ss_sold_date_sk:i rows:l",
-     "SELECT ss_sold_date_sk, count(*) AS rows FROM store_sales GROUP BY 1 HAVING ss_sold_date_sk IS NOT NULL", suite="tpcds")
-_STAT = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_comment"]
-_add("io.analyze_columns", lambda t, p: S.column_statistics(t.orders.select(*_STAT)), "column:s rows:l nulls:l lowest:s highest:s avg_length:d4 max_length:i",
+
+def without_null_partitions(t, p):
+    """Write a fact by a key that has gaps, the gaps left out, and count what is in each folder."""
+    folder = scratch(t.spark, "no-nulls") + "/store_sales"
+    S.write_table(t.store_sales, folder, partition_by=["ss_store_sk"], drop_null_partitions=True)
+    return t.spark.read.parquet(folder).groupBy("ss_store_sk").agg(F.count("*").alias("rows"), F.sum("ss_net_paid").alias("paid"))
+
+
+_add("io.drop_null_partitions", without_null_partitions, "ss_store_sk:i rows:l paid:d", "SELECT ss_store_sk, count(*) AS rows, sum(ss_net_paid) AS paid FROM store_sales WHERE ss_store_sk IS NOT NULL GROUP BY 1", suite="tpcds")
+_STAT = _ORDER_NAMES.split(", ")
+_add("io.analyze_columns", lambda t, p: S.column_statistics(t.orders), "column:s rows:l nulls:l lowest:s highest:s avg_length:d4 max_length:i",
      " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, min({c})::VARCHAR AS lowest, max({c})::VARCHAR AS highest, avg(length({c}::VARCHAR)) AS avg_length, max(length({c}::VARCHAR)) AS max_length FROM orders" for c in _STAT))
 
 
@@ -114,4 +114,22 @@ _add("udf.group_apply_10", group_means, "key:s mean:d6", "SELECT lpad(l_suppkey:
 _add("udf.group_apply_100", group_means, "key:s mean:d6", "SELECT lpad(l_suppkey::VARCHAR, 100, '0') AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1", params={"key": "l_suppkey", "width": 100, "kind": "string"})
 _add("udf.group_apply_hot", group_means, "key:s mean:d6", "SELECT lpad(l_returnflag, 1, '0') AS \"key\", avg(l_quantity) AS mean FROM lineitem GROUP BY 1", params={"key": "l_returnflag", "width": 1, "kind": "string"})
 _add("udf.geomean", lambda t, p: t.orders.groupBy("o_orderpriority").agg(L.geometric_mean(F.col("o_totalprice").cast("double")).alias("geomean")), "o_orderpriority:s geomean:d4", "SELECT o_orderpriority, geomean(o_totalprice::DOUBLE) AS geomean FROM orders GROUP BY 1")
-_add("udf.scalar", lambda t, p: t.orders.select("o_orderkey", A.strip_suffix(F.col("o_comment"), " requests").alias("comment")), "o_orderkey:l comment:s", "SELECT o_orderkey, replace(o_comment, ' requests', '') AS comment FROM orders")
+_add("udf.scalar", lambda t, p: t.orders.select("o_orderkey", A.strip_suffix(F.col("o_comment"), " requests").alias("comment")), "o_orderkey:l comment:s", "SELECT o_orderkey, CASE WHEN ends_with(o_comment, ' requests') THEN left(o_comment, length(o_comment) - 9) ELSE o_comment END AS comment FROM orders")
+
+
+def applied_to_list(t, p):
+    """A function over every element of a distributed list, the orders' priorities by key."""
+    return A.list_apply(t.spark, t.orders.select(F.col("o_orderkey").alias("position"), F.col("o_orderpriority").alias("value")), "string", lambda v: v[::-1], "string")
+
+
+_add("udf.list_apply", applied_to_list, "position:l value:s", "SELECT o_orderkey AS position, reverse(o_orderpriority) AS value FROM orders")
+
+
+def consumed(t, p):
+    """Every line item consumed on the executors and none kept; what passed by is counted on the way."""
+    seen = Observation()
+    C.run_everywhere(t.lineitem.observe(seen, F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity")))
+    return t.spark.createDataFrame([(seen.get["rows"], seen.get["quantity"])], "rows long, quantity decimal(38,2)")
+
+
+_add("chk.foreach", consumed, "rows:l quantity:d", "SELECT count(*) AS rows, sum(l_quantity) AS quantity FROM lineitem")

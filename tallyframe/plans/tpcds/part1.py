@@ -7,10 +7,11 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.verbs import anti, mean, on, one_row, ratio, renamed, semi, total
+from tallyframe.functions.verbs import anti, mean, on, one_row, only, ratio, renamed, semi, tally, total
 from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, SHORT_DAYS, above_peers, dated, day_window, on_days, quoted, sent_back,
                                            share_of_class, sold, take, weekday_sums, weekday_sums_sql)
+from tallyframe.sources.stored import written
 
 BOOK = Book()
 
@@ -344,42 +345,41 @@ WHERE ca_country = 'United States'
 _BRAND_KEY = ["i_brand_id", "i_class_id", "i_category_id"]
 
 
-def _sold_everywhere(t, p):
-    """Items whose (brand, class, category) was sold in all three channels, and the average sale value."""
-    def channel(name):
-        return on_days(sold(t, name, day="~_sold_date_sk", item="~_item_sk", value="~_quantity * ~_list_price"), t, "day", f"d_year between {p.year} and {p.year} + 2")
+def kinds_by_channel(t, p, **periods):
+    """One row for each channel and kind (brand, class, category) with what three years of sales add up to, and with sums (``sales_x``) and counts
+    (``lines_x``) of the periods x, conditions on days: each sales fact is read once."""
+    days = t.date_dim.where(f"d_year between {p.year} and {p.year} + 2").select("d_date_sk", *[c.alias(f"in_{x}") for x, c in periods.items()])
 
-    def kinds(name):
-        # Items first: distinct item keys are far fewer than sales.
-        return semi(t.item, channel(name).select("item"), "i_item_sk = item").select(*_BRAND_KEY)
+    def channel(place, name):
+        lines = on(sold(t, name, day="~_sold_date_sk", item="~_item_sk", value="~_quantity * ~_list_price"), days, "day = d_date_sk")
+        return lines.groupBy("item").agg(total("value", "amount"), F.count("value").alias("valued"), *[m for x in periods for m in (only((f"in_{x}", "value"), f"sales_{x}"), tally(f"in_{x}", f"lines_{x}"))]).withColumn("channel", F.lit(name)).withColumn("bit", F.lit(1 << place))
 
-    everywhere = kinds("store").intersect(kinds("catalog")).intersect(kinds("web")).toDF("b", "c", "k")
-    items = semi(t.item, everywhere, "i_brand_id = b and i_class_id = c and i_category_id = k")
-    sales = functools.reduce(DataFrame.unionByName, [channel(n).select("value") for n in CHANNELS]).agg(mean("value", "average_sales"))
-    return items, sales
+    items = functools.reduce(DataFrame.unionByName, [channel(i, n) for i, n in enumerate(CHANNELS)])
+    # Item sums first: item keys are far fewer than sales. Sales of unknown items count in the average alone.
+    sums = ["amount", "valued", *[f"{m}_{x}" for x in periods for m in ("sales", "lines")]]
+    return on(items, t.item.select("i_item_sk", *_BRAND_KEY), "item = i_item_sk", "left").groupBy("channel", "bit", *_BRAND_KEY).agg(*[total(c, c) for c in sums])
 
 
-def _big_groups(t, channel, days, items, average):
-    lines = semi(sold(t, channel, day="~_sold_date_sk", item="~_item_sk", value="~_quantity * ~_list_price"), days, "day = d_date_sk")
-    groups = on(lines, items, "item = i_item_sk").groupBy(*_BRAND_KEY).agg(total("value", "sales"), F.count("*").alias("number_sales"))
-    return one_row(groups, average).where("sales > average_sales").select(F.lit(channel).alias("channel"), *_BRAND_KEY, "sales", "number_sales")
+def _big_groups(t, kinds, period, channels):
+    """Kinds sold in all channels whose sales in a period beat the average sale; ``kinds`` is a written table, as it is asked three things."""
+    everywhere = kinds.groupBy(*[F.col(k).alias(f"of_{k}") for k in _BRAND_KEY]).agg(F.bit_or("bit").alias("mask")).where(f"mask = {(1 << len(CHANNELS)) - 1}")
+    average = kinds.agg(ratio(F.sum("amount"), F.sum("valued")).alias("average_sales"))
+    groups = semi(kinds.where(F.col("channel").isin(channels)).where(f"lines_{period} > 0"), everywhere, " and ".join(f"{k} = of_{k}" for k in _BRAND_KEY))
+    return one_row(groups, average).where(f"sales_{period} > average_sales").select("channel", *_BRAND_KEY, F.col(f"sales_{period}").alias("sales"), F.col(f"lines_{period}").alias("number_sales"))
 
 
 def q14a(t, p):
-    items, average = _sold_everywhere(t, p)
-    days = t.date_dim.where(f"d_year = {p.year} + 2 and d_moy = 11")
-    rows = functools.reduce(DataFrame.unionByName, [_big_groups(t, c, days, items, average) for c in CHANNELS])
+    kinds = written(kinds_by_channel(t, p, month=F.expr(f"d_year = {p.year} + 2 and d_moy = 11")), "kinds")
+    rows = _big_groups(t, kinds, "month", list(CHANNELS))
     return rows.rollup("channel", *_BRAND_KEY).agg(total("sales", "sum_sales"), total("number_sales", "sum_number_sales"))
 
 
 def q14b(t, p):
-    items, average = _sold_everywhere(t, p)
-
     def week(year):
-        days = semi(t.date_dim, t.date_dim.where(f"d_year = {year} and d_moy = 12 and d_dom = 11").select(F.col("d_week_seq").alias("w")), "d_week_seq = w")
-        return _big_groups(t, "store", days, items, average)
+        return F.col("d_week_seq") == t.date_dim.where(f"d_year = {year} and d_moy = 12 and d_dom = 11").select("d_week_seq").scalar()
 
-    new, old = week(p.year + 1), week(p.year)
+    kinds = written(kinds_by_channel(t, p, old=week(p.year), new=week(p.year + 1)), "kinds")
+    new, old = _big_groups(t, kinds, "new", ["store"]), _big_groups(t, kinds, "old", ["store"])
     old = old.toDF(*["last_" + c for c in old.columns])
     return on(new.withColumnsRenamed({c: "this_" + c for c in new.columns}), old, " and ".join(f"this_{c} = last_{c}" for c in _BRAND_KEY))
 
@@ -389,8 +389,8 @@ WITH lines AS (SELECT 'store' AS channel, ss_sold_date_sk AS day, ss_item_sk AS
                UNION ALL SELECT 'catalog', cs_sold_date_sk, cs_item_sk, cs_quantity * cs_list_price FROM catalog_sales
                UNION ALL SELECT 'web', ws_sold_date_sk, ws_item_sk, ws_quantity * ws_list_price FROM web_sales),
 full_lines AS (SELECT * FROM lines JOIN date_dim ON d_date_sk = day JOIN item ON i_item_sk = item),
-kinds AS (SELECT i_brand_id, i_class_id, i_category_id FROM full_lines WHERE d_year - {year} IN (0, 1, 2) GROUP BY ALL HAVING count(DISTINCT channel) = 3),
-usual AS (SELECT sum(value)::DOUBLE / count(value) AS v FROM lines JOIN date_dim ON d_date_sk = day WHERE d_year - {year} IN (0, 1, 2)),
+kinds AS (SELECT i_brand_id, i_class_id, i_category_id FROM full_lines WHERE d_year BETWEEN {year} AND {year} + 2 GROUP BY ALL HAVING count(DISTINCT channel) = 3),
+usual AS (SELECT sum(value)::DOUBLE / count(value) AS v FROM lines JOIN date_dim ON d_date_sk = day WHERE d_year BETWEEN {year} AND {year} + 2),
 """
 _add("q14a", q14a, "channel:s i_brand_id:i i_class_id:i i_category_id:i sum_sales:d sum_number_sales:l", _EVERYWHERE_SQL + """
 big AS (SELECT channel, i_brand_id, i_class_id, i_category_id, sum(value) AS sales, count(*) AS n

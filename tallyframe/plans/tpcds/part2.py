@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.functions.verbs import mean, on, one_row, ratio, renamed, semi, tally, total
+from tallyframe.functions.verbs import mean, on, one_row, only, ratio, renamed, semi, tally, total
+from tallyframe.operators.ordering import ranked
 from tallyframe.plans.registry import Book, Raw
 from tallyframe.plans.tpcds.part1 import PUBLISHED_ZIPS, brand_report, demographic_sales
 from tallyframe.plans.tpcds.shared import (BUYER, CHANNELS, D, PLACE, WEEKDAYS, above_peers, dated, day_window, on_days, quoted, sold, take,
@@ -58,38 +59,43 @@ WHERE d_month_seq >= {first} AND d_month_seq < {first} + 12
 GROUP BY ROLLUP (i_product_name, i_brand, i_class, i_category)""", order="qoh, i_product_name, i_brand, i_class, i_category", limit=100, params={"first": 1200})
 
 
-def _best_and_frequent(t, p):
-    """Frequently sold items and the customers whose lifetime spending comes near the best period spending."""
+def _frequent(t, p):
+    """Frequently sold items."""
     in_period = dated(t.store_sales, t, "ss_sold_date_sk", f"d_year between {p.year} and {p.year} + 3")
-    frequent = (on(in_period, t.item, "ss_item_sk = i_item_sk").groupBy(F.substring("i_item_desc", 1, 30).alias("desc"), "i_item_sk", "d_date")
-                .agg(F.count("*").alias("n")).where(f"n > {p.often}").select("i_item_sk"))
-    spent = total("ss_quantity * ss_sales_price", "spent")
-    best = semi(in_period, t.customer, "ss_customer_sk = c_customer_sk").groupBy("ss_customer_sk").agg(spent).agg(F.max("spent").alias("best"))
-    lifetime = semi(t.store_sales, t.customer, "ss_customer_sk = c_customer_sk").groupBy(F.col("ss_customer_sk").alias("rich")).agg(spent)
-    return frequent, one_row(lifetime, best).where(f"spent > {p.share} / 100.0 * best").select("rich")
+    return (on(in_period, t.item, "ss_item_sk = i_item_sk").groupBy(F.substring("i_item_desc", 1, 30).alias("desc"), "i_item_sk", "d_date")
+            .agg(F.count("*").alias("n")).where(f"n > {p.often}").select("i_item_sk"))
 
 
-def _their_sales(t, p, channel, frequent, rich):
-    lines = sold(t, channel, day="~_sold_date_sk", item="~_item_sk", who=BUYER[channel], value="~_quantity * ~_list_price")
+def _rich(t, p):
+    """Customers whose spending, ever, comes near the best spending of the period: both sums from one pass over the sales."""
+    days = t.date_dim.where(f"d_year between {p.year} and {p.year} + 3").select("d_date_sk")
+    lines = on(semi(t.store_sales, t.customer, "ss_customer_sk = c_customer_sk"), days, "ss_sold_date_sk = d_date_sk", "left")
+    spent = lines.groupBy(F.col("ss_customer_sk").alias("rich")).agg(total("ss_quantity * ss_sales_price", "ever"), only(("d_date_sk is not null", "ss_quantity * ss_sales_price"), "lately"))
+    best = spent.agg(F.max("lately").alias("best"), F.max("ever").alias("most"))
+    # Both uses of the sums read both of them, so that the second is the first one's shuffle again.
+    return one_row(spent, best).where(f"ever > {p.share} / 100.0 * best and ever <= most and (lately is null or lately <= best)").select("rich")
+
+
+def _their_sales(t, p):
+    """Catalog and web sales of frequent items to these customers in one month."""
+    lines = functools.reduce(DataFrame.unionByName, [
+        sold(t, c, day="~_sold_date_sk", item="~_item_sk", who=BUYER[c], value="~_quantity * ~_list_price").withColumn("channel", F.lit(c)) for c in ("catalog", "web")])
     lines = on_days(lines, t, "day", f"d_year = {p.year} and d_moy = {p.month}")
-    return semi(semi(lines, frequent, "item = i_item_sk"), rich, "who = rich")
+    return semi(semi(lines, _frequent(t, p), "item = i_item_sk"), _rich(t, p), "who = rich")
 
 
 def q23a(t, p):
-    frequent, rich = _best_and_frequent(t, p)
-    return _their_sales(t, p, "catalog", frequent, rich).unionByName(_their_sales(t, p, "web", frequent, rich)).agg(total("value", "sales"))
+    return _their_sales(t, p).agg(total("value", "sales"))
 
 
 def q23b(t, p):
-    frequent, rich = _best_and_frequent(t, p)
-    return functools.reduce(DataFrame.unionByName, [
-        on(_their_sales(t, p, c, frequent, rich), t.customer, "who = c_customer_sk").groupBy("c_last_name", "c_first_name").agg(total("value", "sales")) for c in ("catalog", "web")])
+    return on(_their_sales(t, p), t.customer, "who = c_customer_sk").groupBy("channel", "c_last_name", "c_first_name").agg(total("value", "sales")).drop("channel")
 
 
 _Q23_SQL = """
 WITH frequent AS (SELECT i_item_sk FROM store_sales JOIN date_dim ON d_date_sk = ss_sold_date_sk JOIN item ON i_item_sk = ss_item_sk
                   WHERE d_year IN ({year}, {year} + 1, {year} + 2, {year} + 3) GROUP BY left(i_item_desc, 30), i_item_sk, d_date HAVING count(*) > {often}),
-spent AS (SELECT c_customer_sk AS who, sum(ss_quantity * ss_sales_price) AS ever, sum(ss_quantity * ss_sales_price) FILTER (WHERE d_year - {year} IN (0, 1, 2, 3)) AS lately
+spent AS (SELECT c_customer_sk AS who, sum(ss_quantity * ss_sales_price) AS ever, sum(ss_quantity * ss_sales_price) FILTER (WHERE d_year BETWEEN {year} AND {year} + 3) AS lately
           FROM store_sales JOIN customer ON c_customer_sk = ss_customer_sk LEFT JOIN date_dim ON d_date_sk = ss_sold_date_sk GROUP BY 1),
 rich AS (SELECT who FROM spent WHERE ever > {share} / 100.0 * (SELECT max(lately) FROM spent)),
 theirs AS (SELECT 'c' AS channel, cs_bill_customer_sk AS who, cs_item_sk AS item, cs_sold_date_sk AS day, cs_quantity * cs_list_price AS value FROM catalog_sales
@@ -103,11 +109,16 @@ _add("q23b", q23b, "c_last_name:s c_first_name:s sales:d", _Q23_SQL + "SELECT c_
 
 
 def q24(t, p):
-    lines = on(t.store_sales, t.store_returns.select("sr_ticket_number", "sr_item_sk"), "ss_ticket_number = sr_ticket_number and ss_item_sk = sr_item_sk")
+    """Amounts meet counts instead of rows: neither a line returned several times nor a zip with many addresses repeats a line."""
+    returned = t.store_returns.groupBy("sr_ticket_number", "sr_item_sk").agg(F.count("*").alias("times"))
+    lines = on(t.store_sales, returned, "ss_ticket_number = sr_ticket_number and ss_item_sk = sr_item_sk")
     lines = on(on(lines, t.customer, "ss_customer_sk = c_customer_sk"), t.item, "ss_item_sk = i_item_sk")
     lines = on(lines, t.store.where(f"s_market_id = {p.market}"), "ss_store_sk = s_store_sk")
-    lines = on(lines, t.customer_address, "c_birth_country = upper(ca_country) and s_zip = ca_zip")
-    groups = lines.groupBy("c_last_name", "c_first_name", "s_store_name", "ca_state", "s_state", "i_color", "i_current_price", "i_manager_id", "i_units", "i_size").agg(total("ss_net_paid", "netpaid"))
+    names = ["c_last_name", "c_first_name", "s_store_name", "s_state", "i_color", "i_current_price", "i_manager_id", "i_units", "i_size"]
+    sums = lines.groupBy(*names, "c_birth_country", "s_zip").agg(total(F.col("ss_net_paid").cast("decimal(18,2)") * F.col("times"), "amount"))
+    homes = t.customer_address.groupBy("ca_zip", "ca_state", F.upper("ca_country").alias("country")).agg(F.count("*").alias("homes"))
+    met = on(sums, homes, "c_birth_country = country and s_zip = ca_zip")
+    groups = met.groupBy(*names, "ca_state").agg(total(F.col("amount").cast("decimal(25,2)") * F.col("homes").cast("decimal(12,0)"), "netpaid"))
     paid = groups.where(F.col("i_color") == p.color).groupBy("c_last_name", "c_first_name", "s_store_name").agg(total("netpaid", "paid"))
     return one_row(paid, groups.agg(mean("netpaid", "usual"))).where("paid > 0.05 * usual")
 
@@ -261,7 +272,7 @@ def baskets(t, p):
 _BASKET_SQL = """
 SELECT c_last_name, c_first_name, c_salutation, c_preferred_cust_flag, ss_ticket_number, count(*) AS cnt
 FROM store_sales JOIN date_dim ON d_date_sk = ss_sold_date_sk JOIN store ON s_store_sk = ss_store_sk JOIN household_demographics ON hd_demo_sk = ss_hdemo_sk JOIN customer ON c_customer_sk = ss_customer_sk
-WHERE d_year - {year} IN (0, 1, 2) AND <<days>> AND s_county IN ({counties}) AND hd_buy_potential IN ({potentials}) AND hd_vehicle_count > 0 AND hd_dep_count > {per_vehicle} * hd_vehicle_count
+WHERE d_year IN ({year}, {year} + 1, {year} + 2) AND <<days>> AND s_county IN ({counties}) AND hd_buy_potential IN ({potentials}) AND hd_vehicle_count > 0 AND hd_dep_count > {per_vehicle} * hd_vehicle_count
 GROUP BY ss_ticket_number, c_customer_sk, ALL_NAMES HAVING count(*) BETWEEN {low} AND {high}""".replace("ALL_NAMES", "c_last_name, c_first_name, c_salutation, c_preferred_cust_flag")
 BASKET_OUT = "c_last_name:s c_first_name:s c_salutation:s c_preferred_cust_flag:s ss_ticket_number:l cnt:l"
 _add("q34", baskets, BASKET_OUT, _BASKET_SQL.replace("<<days>>", "d_dom IN (1, 2, 3, 25, 26, 27, 28)"), order="c_last_name, c_first_name, c_salutation, c_preferred_cust_flag desc, ss_ticket_number",
@@ -486,7 +497,7 @@ def _other_city_report(key, sums, days, days_sql, cities, order):
          "SELECT c_last_name, c_first_name, own.ca_city AS ca_city, b.ca_city AS bought_city, ss_ticket_number, " + ", ".join(f"sum({c}) AS {n}" for c, n in sums) + """
 FROM store_sales JOIN date_dim ON d_date_sk = ss_sold_date_sk JOIN store ON s_store_sk = ss_store_sk JOIN household_demographics ON hd_demo_sk = ss_hdemo_sk
      JOIN customer_address b ON b.ca_address_sk = ss_addr_sk JOIN customer ON c_customer_sk = ss_customer_sk JOIN customer_address own ON own.ca_address_sk = c_current_addr_sk
-WHERE b.ca_city <> own.ca_city AND """ + days_sql + """ AND d_year - {year} IN (0, 1, 2) AND s_city IN ({cities}) AND ({dependents} = hd_dep_count OR {vehicles} = hd_vehicle_count)
+WHERE b.ca_city <> own.ca_city AND """ + days_sql + """ AND d_year IN ({year}, {year} + 1, {year} + 2) AND s_city IN ({cities}) AND ({dependents} = hd_dep_count OR {vehicles} = hd_vehicle_count)
 GROUP BY ss_ticket_number, c_customer_sk, b.ca_address_sk, c_last_name, c_first_name, own.ca_city, b.ca_city""", order=order, limit=100,
          params={"sums": sums, "days": days, "cities": cities, "dependents": 4, "vehicles": 3, "year": 1999})
 
@@ -545,21 +556,6 @@ WHERE ca_country = 'United States' AND EXISTS (FROM people WHERE ms = cd_marital
      tried={"places": [(["CO", "OH", "TX"], 0, 2000), (["OR", "MN", "KY"], 150, 3000), (["VA", "CA", "MS", "TN", "GA"], 50, 25000)]})
 
 
-def rank_by_value(df: DataFrame, keys: list[str], value: str, name: str, steps: int = 1024) -> DataFrame:
-    """``rank() over (partition by keys order by value)`` without gathering a whole key in one task.
-
-    Rows fall into value bands (equal values share a band); a running count over the bands, one row each, gives every
-    band its offset, and the rank inside the band is a window over that band only.
-    """
-    banded = df.withColumn("band", F.floor(F.col(value) * steps))
-    before = W.partitionBy(*keys).orderBy(F.asc_nulls_first("band")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = banded.groupBy(*keys, "band").agg(F.count("*").alias("in_band")).select(
-        *[F.col(k).alias("of_" + k) for k in [*keys, "band"]], F.coalesce(F.sum("in_band").over(before), F.lit(0)).alias("offset"))
-    inside = F.rank().over(W.partitionBy(*keys, "band").orderBy(F.asc(value)))
-    joined = on(banded.withColumn("inside", inside), offsets, " and ".join(f"{k} <=> of_{k}" for k in [*keys, "band"]))
-    return joined.select(*df.columns, F.expr("offset + inside").alias(name))
-
-
 def q49(t, p):
     def channel(name):
         _, s, returns, r, number = CHANNELS[name]
@@ -575,8 +571,8 @@ def q49(t, p):
     items = functools.reduce(DataFrame.unionByName, [channel(c) for c in ("web", "catalog", "store")])
     # One row per item and measure, so that both ranks of all channels come from one pass.
     measures = items.select("channel", "item", "return_ratio", F.expr("stack(2, 'return', return_ratio, 'currency', currency_ratio) as (measure, ratio)"))
-    ranked = rank_by_value(measures, ["channel", "measure"], "ratio", "place")
-    both = ranked.groupBy("channel", "item", "return_ratio").agg(
+    placed = ranked(measures, ["channel", "measure"], "ratio", "place")
+    both = placed.groupBy("channel", "item", "return_ratio").agg(
         *[F.max(F.when(F.col("measure") == m, F.col("place"))).alias(f"{m}_rank") for m in ("return", "currency")])
     return both.where("return_rank <= 10 or currency_rank <= 10").distinct()
 

@@ -178,7 +178,7 @@ _add("q61", q61, "promotions:d total:d percent:d", """
 WITH lines AS (SELECT ss_promo_sk, ss_ext_sales_price AS v FROM store_sales JOIN date_dim ON d_date_sk = ss_sold_date_sk AND (d_year, d_moy) = ({year}, {month}) JOIN store ON s_store_sk = ss_store_sk AND s_gmt_offset = -5
                     JOIN customer ON c_customer_sk = ss_customer_sk JOIN customer_address ON ca_address_sk = c_current_addr_sk AND ca_gmt_offset = -5 JOIN item ON i_item_sk = ss_item_sk AND i_category = {category})
 SELECT promotions, total, promotions::DOUBLE / total::DOUBLE * 100 AS percent
-FROM (SELECT sum(v) AS promotions FROM lines JOIN promotion ON p_promo_sk = ss_promo_sk WHERE 'Y' IN (p_channel_dmail, p_channel_email, p_channel_tv)), (SELECT sum(v) AS total FROM lines)""",
+FROM (SELECT sum(v) AS promotions FROM lines JOIN promotion ON p_promo_sk = ss_promo_sk WHERE p_channel_dmail = 'Y' OR p_channel_email = 'Y' OR p_channel_tv = 'Y'), (SELECT sum(v) AS total FROM lines)""",
      order="promotions, total", limit=100, params={"category": "Jewelry", "year": 1998, "month": 11})
 
 
@@ -209,13 +209,12 @@ def q64(t, p):
     def address(prefix):
         return renamed(t.customer_address, prefix, "ca_address_sk", "ca_street_number", "ca_street_name", "ca_city", "ca_zip")
 
-    lines = on(t.store_sales, items, "ss_item_sk = i_item_sk")
+    lines = on(on(t.store_sales, t.date_dim.where(f"d_year in ({p.year}, {p.year} + 1)").select("d_date_sk", F.col("d_year").alias("syear")), "ss_sold_date_sk = d_date_sk").drop("d_date_sk"), items, "ss_item_sk = i_item_sk")
     lines = semi(lines, t.store_returns, "ss_item_sk = sr_item_sk and ss_ticket_number = sr_ticket_number") if p.single_return else on(
         lines, t.store_returns.select("sr_item_sk", "sr_ticket_number"), "ss_item_sk = sr_item_sk and ss_ticket_number = sr_ticket_number")
     lines = semi(semi(lines, homes, "ss_hdemo_sk = hd_demo_sk"), t.promotion, "ss_promo_sk = p_promo_sk")
     lines = on(on(lines, t.customer, "ss_customer_sk = c_customer_sk"), t.store.select("s_store_sk", "s_store_name", "s_zip"), "ss_store_sk = s_store_sk")
     lines = semi(lines, homes, "c_current_hdemo_sk = hd_demo_sk")
-    lines = on(lines, t.date_dim.where(f"d_year in ({p.year}, {p.year} + 1)").select("d_date_sk", F.col("d_year").alias("syear")), "ss_sold_date_sk = d_date_sk").drop("d_date_sk")
     for role, key in (("fs", "c_first_sales_date_sk"), ("s2", "c_first_shipto_date_sk")):
         lines = on(lines, t.date_dim.select(F.col("d_date_sk").alias(f"{role}_sk"), F.col("d_year").alias(f"{role}year")), f"{key} = {role}_sk")
     lines = on(lines, renamed(t.customer_demographics, "then_", "cd_demo_sk", "cd_marital_status"), "ss_cdemo_sk = then_cd_demo_sk")
@@ -376,7 +375,9 @@ def q72(t, p):
     orders = on(t.catalog_sales, t.date_dim.where(f"d_year = {p.year}").select("d_date_sk", "d_week_seq", F.col("d_date").alias("sold_on")), "cs_sold_date_sk = d_date_sk").drop("d_date_sk")
     orders = semi(semi(orders, t.customer_demographics.where(F.col("cd_marital_status") == p.marital), "cs_bill_cdemo_sk = cd_demo_sk"), t.household_demographics.where(F.col("hd_buy_potential") == p.potential), "cs_bill_hdemo_sk = hd_demo_sk")
     orders = on(orders, t.date_dim.select("d_date_sk", F.col("d_date").alias("shipped_on")), "cs_ship_date_sk = d_date_sk and shipped_on > date_add(sold_on, 5)").drop("d_date_sk")
-    stock = on(t.inventory, t.date_dim.select("d_date_sk", F.col("d_week_seq").alias("stock_week")), "inv_date_sk = d_date_sk").drop("d_date_sk")
+    # Only counts of weeks in which orders can be.
+    weeks = semi(t.date_dim.select("d_date_sk", F.col("d_week_seq").alias("stock_week")), t.date_dim.where(f"d_year = {p.year}").select("d_week_seq"), "stock_week = d_week_seq")
+    stock = on(t.inventory, weeks, "inv_date_sk = d_date_sk").drop("d_date_sk")
     # Item and week together are the join key: an order meets the counts of its own week only.
     short = on(orders, stock, "cs_item_sk = inv_item_sk and d_week_seq = stock_week and inv_quantity_on_hand < cs_quantity")
     short = on(short, t.promotion.select("p_promo_sk"), "cs_promo_sk = p_promo_sk", "left")
@@ -525,7 +526,7 @@ def q79(t, p):
 _add("q79", q79, "c_last_name:s c_first_name:s city:s ss_ticket_number:l amt:d profit:d", """
 SELECT c_last_name, c_first_name, left(s_city, 30) AS city, ss_ticket_number, sum(ss_coupon_amt) AS amt, sum(ss_net_profit) AS profit
 FROM store_sales JOIN date_dim ON d_date_sk = ss_sold_date_sk JOIN store ON s_store_sk = ss_store_sk JOIN household_demographics ON hd_demo_sk = ss_hdemo_sk JOIN customer ON c_customer_sk = ss_customer_sk
-WHERE d_day_name = 'Monday' AND d_year - {year} IN (0, 1, 2) AND s_number_employees >= 200 AND s_number_employees <= 295 AND (hd_dep_count = 6 OR hd_vehicle_count > 2)
+WHERE d_day_name = 'Monday' AND d_year IN ({year}, {year} + 1, {year} + 2) AND s_number_employees >= 200 AND s_number_employees <= 295 AND (hd_dep_count = 6 OR hd_vehicle_count > 2)
 GROUP BY ss_ticket_number, ss_addr_sk, c_customer_sk, c_last_name, c_first_name, s_city""", order="c_last_name, c_first_name, city, profit", limit=100, params={"year": 1999})
 
 _PLACES_80 = {"store": ("~_store_sk", "store", "s_store_sk", "s_store_id", "store"), "catalog": ("~_catalog_page_sk", "catalog_page", "cp_catalog_page_sk", "cp_catalog_page_id", "catalog_page"),
@@ -554,7 +555,7 @@ def _q80_sql():
         amount = "cr_return_amount" if r == "cr" else f"{r}_return_amt"
         parts.append(f"SELECT '{name} channel' AS channel, '{label}' || {ident} AS id, {s}_ext_sales_price AS v, ifnull({amount}, 0) AS r, {s}_net_profit - ifnull({r}_net_loss, 0) AS g FROM {table} "
                      f"LEFT JOIN {returns} ON ({r}_item_sk, {r}_{number}) = ({s}_item_sk, {s}_{number}) JOIN date_dim ON d_date_sk = {s}_sold_date_sk AND d_date BETWEEN {{day}} AND {{day}} + 30 JOIN {place} ON {sk} = {key.replace('~', s)} "
-                     f"JOIN item ON i_item_sk = {s}_item_sk AND i_current_price > 50 JOIN promotion ON p_promo_sk = {s}_promo_sk AND p_channel_tv <> 'Y'")
+                     f"JOIN item ON i_item_sk = {s}_item_sk AND i_current_price > 50 JOIN promotion ON p_promo_sk = {s}_promo_sk AND p_channel_tv = 'N'")
     return "SELECT channel, id, sum(v) AS sales, sum(r) AS returns, sum(g) AS profit FROM (" + "\nUNION ALL ".join(parts) + ") GROUP BY ROLLUP (channel, id)"
 
 

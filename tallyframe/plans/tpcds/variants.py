@@ -151,7 +151,7 @@ def q79_kit(t, p):
     return on(tickets, t.customer, "ss_customer_sk = c_customer_sk").withColumn("city", F.substring("s_city", 1, 30))
 
 
-_Q79_SQL = _base("q79").sql.replace("d_day_name = 'Monday' AND d_year - {year} IN (0, 1, 2)", "{days}").replace("(hd_dep_count = 6 OR hd_vehicle_count > 2)", "(hd_dep_count = 8 OR hd_vehicle_count > 0)")
+_Q79_SQL = _base("q79").sql.replace("d_day_name = 'Monday' AND d_year IN ({year}, {year} + 1, {year} + 2)", "{days}").replace("(hd_dep_count = 6 OR hd_vehicle_count > 2)", "(hd_dep_count = 8 OR hd_vehicle_count > 0)")
 _kit("impala_orig.q79", "q79", build=q79_kit, sql=_Q79_SQL, params={"days": Raw("d_dow = 1 and d_year in (1998, 1999, 2000)")})
 _kit("impala.q79", "q79", build=q79_kit, sql=_Q79_SQL, params={"days": Raw("d_dow = 1 and d_year in (1998, 1999, 2000) and d_date between date '1999-01-01' and date '1999-03-31'")}, pruned=QUARTER_99)
 
@@ -252,7 +252,7 @@ BOOK.add("simple.fact_fact", fact_fact, "cnt:l", "SELECT count(*) AS cnt FROM st
 BOOK.add("simple.q7_scan", date_scan, _out(_SCAN) + " ss_coupon_amt_2:d", f"SELECT {', '.join(_SCAN)}, ss_coupon_amt AS ss_coupon_amt_2 FROM store_sales", pruned=YEAR_98)
 _TWO = ["i_item_id", "ss_quantity", "ss_list_price", "ss_coupon_amt", "ss_sales_price", "ss_promo_sk", "ss_sold_date_sk"]
 _TWO_SQL = "FROM store_sales JOIN item ON i_item_sk = ss_item_sk JOIN customer_demographics ON cd_demo_sk = ss_cdemo_sk AND (cd_gender, cd_marital_status, cd_education_status) = ('F', 'W', 'Primary')"
-_FOUR_SQL = _TWO_SQL + "\n     JOIN promotion ON p_promo_sk = ss_promo_sk AND 'N' IN (p_channel_email, p_channel_event) JOIN date_dim ON d_date_sk = ss_sold_date_sk AND d_year = 1998"
+_FOUR_SQL = _TWO_SQL + "\n     JOIN promotion ON p_promo_sk = ss_promo_sk AND (p_channel_email = 'N' OR p_channel_event = 'N') JOIN date_dim ON d_date_sk = ss_sold_date_sk AND d_year = 1998"
 BOOK.add("simple.q7_two_joins", two_joins, _out(_TWO), f"SELECT {', '.join(_TWO)} {_TWO_SQL}", pruned=YEAR_98)
 BOOK.add("simple.q7_four_joins", four_joins, _out(_TWO[:5]), f"SELECT {', '.join(_TWO[:5])} {_FOUR_SQL}", pruned=YEAR_98)
 BOOK.put(_base("q7").variant("simple.q7_no_order", params=_PRIMARY, order="", limit=None, pruned=YEAR_98))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +20,6 @@ _ORACLE_WORDS = {"{list}": "([", "{at}": "])[cast((", "{end}": ") + 1 as bigint)
 _SLOT = re.compile(r"\{(\w+)\}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def _spelled(text: str, words: dict[str, str]) -> str:
     for slot, word in words.items():
         text = text.replace(slot, word)
@@ -38,8 +29,8 @@ def _spelled(text: str, words: dict[str, str]) -> str:
 class Catalog:
     """Tables of one suite in one folder, reached as attributes: ``Catalog(spark, folder, "tpcds").store_sales``.
 
-    A table written under ``<folder>/<suite>/<name>`` (see ``tallyframe.sources.layout.write_suite``) is read from
-    there, with partition pruning; otherwise it is derived from the given tables on the fly.
+    Tables are derived from the given ones on the fly, unless ``replaced`` names others, such as written, partitioned or bucketed ones
+    (see ``tallyframe.sources.stored``).
     """
 
     def __init__(self, spark: SparkSession, folder: str, suite: str = "given"):
@@ -60,18 +51,19 @@ class Catalog:
             if name in GIVEN:
                 return self.given(name)
             raise KeyError(f"suite {self.suite} has no table {name}; it has {', '.join(sorted(rules) or GIVEN)}")
-        written = f"{self.folder}/{self.suite}/{name}"
-        if _exists(self.spark, written):
-            return self.spark.read.parquet(written)
         text = _spelled(rules[name], _SPARK_WORDS)
         return self.spark.sql(text, **{slot: self.given(slot) for slot in set(_SLOT.findall(text))})
 
-    def pruned(self, name: str, key: str, low: int, high: int) -> Catalog:
-        """The same tables with one of them limited to a range of its partition key."""
+    def replaced(self, **frames: DataFrame) -> Catalog:
+        """The same tables with some of them read from elsewhere."""
         view = Catalog(self.spark, self.folder, self.suite)
-        view._frames[name] = self.table(name).where(f"{key} between {low} and {high}")
+        view._frames = {**self._frames, **frames}
         return view
 
+    def pruned(self, name: str, key: str, low: int, high: int) -> Catalog:
+        """The same tables with one of them limited to a range of its partition key."""
+        return self.replaced(**{name: self.table(name).where(f"{key} between {low} and {high}")})
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,14 +46,9 @@ def switch_types(df: DataFrame, double_for_decimal: bool = False, string_for_dat
     return df.select(*[F.col(f.name).cast(f.dataType) for f in switched_schema(df.schema, double_for_decimal, string_for_date).fields])
 
 
-def file_count(rows: int, max_records: int) -> int:
-    """Files for an unpartitioned table; one when no limit is set."""
-    return max(1, math.ceil(rows / max_records)) if max_records > 0 else 1
-
-
 def write_table(df: DataFrame, path: str, file_format: str = "parquet", partition_by: list[str] | None = None, overwrite: bool = True,
                 cluster: bool = True, drop_null_partitions: bool = False, max_records: int = 0) -> None:
-    """Write one table; ``overwrite=False`` keeps an existing one.
+    """Write one table; ``overwrite=False`` keeps an existing one. ``stored.write_exact`` makes files of an exact number of rows.
 
     Clustering brings the rows of a partition together before the write, so that each partition becomes few files. It is a
     rebalance rather than a plain shuffle by key: adaptive execution splits a partition value that holds too many rows for one task.
@@ -67,8 +59,6 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet", partitio
             df = df.where(F.col(key).isNotNull())
     if keys and cluster:
         df = df.hint("rebalance", *keys)
-    elif not keys and max_records > 0:
-        df = df.coalesce(file_count(df.count(), max_records))
     writer = df.write.format(file_format).mode("overwrite" if overwrite else "ignore")
     if max_records > 0:
         writer = writer.option("maxRecordsPerFile", max_records)
@@ -86,7 +76,7 @@ def chosen_tables(suite: str, only: str | None = None) -> list[str]:
 
 
 def write_suite(catalog: Catalog, folder: str, only: str | None = None, **options) -> list[str]:
-    """Materialize a suite's tables under ``<folder>/<suite>/<name>``, where ``Catalog`` finds them."""
+    """Materialize a suite's tables under ``<folder>/<suite>/<name>``; ``stored.written_suite`` reads them."""
     paths = []
     for name in chosen_tables(catalog.suite, only):
         path = f"{folder}/{catalog.suite}/{name}"
@@ -123,17 +113,6 @@ def temp_view(spark: SparkSession, name: str, path: str, file_format: str = "par
     spark.read.format(file_format).load(path).createOrReplaceTempView(name)
 
 
-def materialize_missing(spark: SparkSession, builders: dict[str, Callable[[SparkSession], DataFrame]], wanted: list[str]) -> list[str]:
-    """Save the wanted tables that do not exist yet, each from its builder."""
-    missing = [n for n in wanted if not spark.catalog.tableExists(n)]
-    unknown = [n for n in missing if n not in builders]
-    if unknown:
-        raise ValueError(f"no builder for {', '.join(unknown)}")
-    for name in missing:
-        builders[name](spark).write.saveAsTable(name)
-    return missing
-
-
 def analyze_table(spark: SparkSession, name: str, columns: bool = False) -> None:
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS" + (" FOR ALL COLUMNS" if columns else ""))
 
@@ -156,15 +135,6 @@ def column_statistics(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*parts).alias("columns")).select(F.inline("columns"))
 
 
-def describe_tables(spark: SparkSession, database: str) -> DataFrame:
-    """Rows and partition columns of every table of a database."""
-    rows = []
-    for table in spark.catalog.listTables(database):
-        columns = spark.catalog.listColumns(f"{database}.{table.name}")
-        rows.append((table.name, spark.table(f"{database}.{table.name}").count(), len(columns), ",".join(c.name for c in columns if c.isPartition)))
-    return spark.createDataFrame(rows, "name string, rows long, columns int, partition_columns string")
-
-
 def write_runs(runs: DataFrame, folder: str) -> None:
     """Append runs as JSON under ``timestamp=<ms>`` folders."""
     runs.write.mode("append").partitionBy("timestamp").json(folder)

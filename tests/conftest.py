@@ -10,6 +10,7 @@ sys.path.insert(0, ROOT)
 
 from tallyframe.plans.session import tune  # noqa: E402
 from tallyframe.sources.catalog import GIVEN  # noqa: E402
+from tallyframe.sources.stored import clear_scratch  # noqa: E402
 
 DATA = os.environ.get("TALLYFRAME_DATA", "/root/testdata/sf0.01")
 
@@ -20,6 +21,7 @@ def spark(tmp_path_factory):
                .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).config("spark.driver.memory", "8g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
+    clear_scratch(session)
     session.stop()
 
 

@@ -25,9 +25,9 @@ def test_mixed(spark):
 
 
 def test_integer_tables(spark):
-    groups = S.group_ints(spark, 3, 100).groupBy("a").agg(F.count("*").alias("n"), F.min("b"), F.max("b")).orderBy("a").collect()
+    groups = S.group_ints(spark.range(300), 100).groupBy("a").agg(F.count("*").alias("n"), F.min("b"), F.max("b")).orderBy("a").collect()
     assert [tuple(r) for r in groups] == [(1, 100, 1, 100), (2, 100, 1, 100), (3, 100, 1, 100)]
-    assert S.two_groups(spark, 10).where("a = 0").count() == 5 and S.ints(spark, 7, 2).count() == 7
+    assert S.two_groups(spark.range(10)).where("a = 0").count() == 5 and S.ints(spark, 7, 2).count() == 7
 
 
 def test_ratings(spark):
