@@ -5,28 +5,25 @@ set's inverted lists only those of its first ``n - T + 1`` shingles need to be s
 shingles of a sample of the documents last; any order gives the same links). Of these lists, short ones are merged: every two sets
 of a list meet, and the number of lists in which two sets meet, with their last place in common, bounds their overlap. Long lists are
 put aside: in them only a few leaders are compared with all others, and later, if a long list still holds several components, its
-sets of different components. Candidates that pass a count sketch (a lower bound of the difference) are probed: the smaller set is
+sets of different components, as far as the parities of their shingles' bins leave room for a link. Candidates that pass a count sketch (a lower bound of the difference) are probed: the smaller set is
 looked up in the larger one by binary search, and sets whose overlap reaches T are linked. Equal sets are one from the start.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.components import components
-from tallyframe.llm.shared import byte_texts, picked, sub_batches, written
-
-SHORT_LIST, LEADERS, SKETCH, BITS = 64, 4, 256, 1 << 27
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_POWERS = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full((1 << 16) - 1, 0x9E3779B97F4A7C15, np.uint64))), dtype=np.uint64)
-
+from tallyframe.llm.shared import byte_texts, free_name, picked, sub_batches, written
 
+SHORT_LIST, LEADERS, SKETCH, MOST_BITS, PARITIES = 64, 4, 256, 1 << 27, 16
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -34,24 +31,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def shingles(text: bytes, words: int = 5) -> np.ndarray:
-    """The sorted set of 64-bit hashes of a text's shingles: of ``words`` words each, or of all words if there are fewer."""
-    codes = np.frombuffer(text.lower(), np.uint8)
-    inside = np.concatenate(([False], ~_SPACE[codes], [False]))
-    starts, ends = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    at = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = np.arange(len(at)) - at
-    value = (codes[inside[1:-1]].astype(np.uint64) + np.uint64(1)) * _POWERS[place & 0xFFFF]
-    if lengths.max() > 1 << 16:
-        value *= (2 * (place >> 16) + 1).astype(np.uint64)
-    word = mixed(np.add.reduceat(value, np.cumsum(lengths) - lengths))
+    """The sorted set of 64-bit hashes of a text's shingles: of ``words`` words each, or of all words if there are fewer. The hash is of the shingle's
+    bytes, words lower-cased and joined by spaces."""
+    word = text.lower().split()
     size = min(words, len(word))
-    found = np.zeros(len(word) - size + 1, np.uint64)
-    for j in range(size):
-        found = mixed(found + word[j:j + len(found)] * np.uint64(2 * j + 3) + np.uint64(size))
-    return np.unique(found)
+    if not size:
+        return np.zeros(0, np.uint64)
+    found = map(xxhash.xxh64_intdigest, map(b" ".join, zip(*(word[i:] for i in range(size)))))
+    return np.unique(np.fromiter(found, np.uint64, len(word) - size + 1))
 
 
 def set_key(found: np.ndarray) -> int:
@@ -147,17 +134,32 @@ def candidates(lists: DataFrame, percent: int) -> DataFrame:
     return short.unionByName(led).distinct()
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Of each of ``64 * PARITIES`` bins, whether an odd number of shingles falls into it, as signed words. Two sets differ in at least as many shingles as
+    bits differ."""
+    odd = np.bincount((found & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def parity_fits(percent: int):
+    """Whether the bits that differ leave room for a link."""
+    off = functools.reduce(lambda x, y: x + y, [F.bit_count(F.col("xa")[i].bitwiseXOR(F.col("xb")[i])) for i in range(PARITIES)])
+    return off * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+
+
 def bitmap(numbers: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size of the numbers in the first column, by their low bits."""
-    bits = numbers.select((F.pmod(F.col(numbers.columns[0]), F.lit(BITS)) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
-    table = np.zeros(BITS // 8, np.uint8)
-    for part, found in bits:
-        table[(part - 1) * len(found):part * len(found)] = np.frombuffer(found, np.uint8)
+    """A bitmap of the numbers in the first column by their low bits, of 64 to 128 bits for each number, ``MOST_BITS`` (16 MB) at most: what it lets through by chance
+    is more work, never another result."""
+    bits = min(MOST_BITS, 1 << max(18, (64 * numbers.count()).bit_length()))
+    found = numbers.select((F.pmod(F.col(numbers.columns[0]), F.lit(bits)) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    table = np.zeros(bits // 8, np.uint8)
+    for part, those in found:
+        table[(part - 1) * len(those):part * len(those)] = np.frombuffer(those, np.uint8)[:len(table) - (part - 1) * len(those)]
     return table
 
 
 def marked(column: pa.ChunkedArray | pa.Array, table: np.ndarray) -> pa.Array:
-    bit = column.to_numpy() % BITS
+    bit = column.to_numpy() % (8 * len(table))
     return pa.array(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0)
 
 
@@ -167,8 +169,8 @@ def row_mark():
 
 
 def sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(key, shingles, sketch) of the rows ``wanted`` (mark), from their texts, without a shuffle. A bitmap of fixed size tells others apart before any
-    work; one that passes by chance is a set that no pair names, and a repeated row is compared twice."""
+    """(key, shingles, sketch, parity) of the rows ``wanted`` (mark), from their texts, without a shuffle. A bitmap tells others apart before any
+    work; one that passes by chance is a set that no pair names, or another copy of one."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,22 +185,22 @@ def sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     seen.add(mark)
                     found = shingles(text, words)
                     if len(found):
-                        out.append((set_key(found), found.tobytes(), counted(found)))
+                        out.append((set_key(found), found.tobytes(), counted(found), parities(found)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], names=["key", "shingles", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())))], names=["key", "shingles", "sketch", "parity"])
 
-    return written(rows.select(row_mark().alias("mark"), "text").mapInArrow(run, "key long, shingles binary, sketch binary"), "sets")
+    return written(rows.select(row_mark().alias("mark"), "text").mapInArrow(run, "key long, shingles binary, sketch binary, parity array<bigint>"), "sets")
 
 
 def asked(sets: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """(key, column) of the sets that ``keys`` names, and of few others: what has no use is left out before it is sent anywhere."""
+    """(key, column) of the sets that ``keys`` names, and of few others, each once: what has no use is left out before it is sent anywhere."""
     shared = sets.sparkSession.sparkContext.broadcast(bitmap(keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(marked(batch.column("key"), shared.value))
 
-    return sets.select("key", column).mapInArrow(run, f"key long, {column} binary")
+    return sets.select("key", column).mapInArrow(run, f"key long, {column} binary").dropDuplicates(["key"])
 
 
 def probed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -249,8 +251,9 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     # Long lists that are not one component yet: their sets of different components, as far as they were not compared.
     labelled = long_lists.join(labels, F.col("key") == F.col("node"), "left").select("token", "key", "n", "pos", F.coalesce("label", "key").alias("label"))
     split = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    left, right = sides(labelled.join(split, "token", "left_semi"), "label")
-    more = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & size_fits(percent) & first_fits(percent)).select("a", "b", "na", "nb").distinct()
+    parity = found.select("key", F.col("parity").alias("x")).dropDuplicates(["key"])
+    left, right = sides(labelled.join(split, "token", "left_semi").join(parity, "key"), "label", "x")
+    more = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & size_fits(percent) & first_fits(percent) & parity_fits(percent)).select("a", "b", "na", "nb").distinct()
     more = written(more.join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         labels = components(links.unionByName(probed(more, found, percent)))
@@ -262,12 +265,14 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns: of each component the one with the smallest doc_id (null last, then by text hash), and all
-    with an empty set. A row repeated with its identifier and text stays once."""
+    with an empty set (null, empty and blank texts). A row repeated with its identifier and text stays once; an empty table stays empty; columns may have
+    any names."""
     def key(identifier, text_hash):
         return F.concat(F.coalesce(F.col(identifier).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text_hash.cast("string"), F.lit("-")))
 
     found = jaccard_join(docs, words, percent, id_col, text_col)
     first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("f")).select("f.doc_id", "f.th")
-    stay = first.unionByName(found.where("label is null").select("doc_id", "th")).select(key("doc_id", F.col("th")).alias("_row"))
-    marked = docs.withColumn("_row", key(f"`{id_col}`", F.xxhash64(F.col(f"`{text_col}`"))))
-    return marked.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = free_name(docs.columns, "row_key")
+    stay = first.unionByName(found.where("label is null").select("doc_id", "th")).select(key("doc_id", F.col("th")).alias(row))
+    marked = docs.withColumn(row, key(f"`{id_col}`", F.xxhash64(F.col(f"`{text_col}`"))))
+    return marked.join(stay, row, "left_semi").dropDuplicates([row]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -28,6 +28,14 @@ def picked(docs: DataFrame, **columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A column name that is not among the given ones, in any letter case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def null_safe_key(column: str):
     """A never-null string that is equal for equal values only, and null's own value for null."""
     return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("-"))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tallyframe.llm import jaccard_join as J
@@ -81,6 +82,31 @@ def test_shingle_sets(text):
     assert (J.shingles(text) == J.shingles(text.upper().lower())).all()
 
 
+def test_words_that_a_polynomial_confuses_do_not_link(spark):
+    """The Thue-Morse word and its swap have one hash by any polynomial modulo a power of two."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    docs = spark.createDataFrame([(1, word), (2, word.translate(str.maketrans("ab", "ba")))], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["component_id"]) for r in J.jaccard_join(docs).collect()) == [(1, 1), (2, 2)]
+
+
+def test_parities_never_exceed_the_difference():
+    rng = random.Random(8)
+    for _ in range(200):
+        a = {rng.getrandbits(64) for _ in range(rng.randrange(1, 400))}
+        b = {x for x in a if rng.random() < 0.9} | {rng.getrandbits(64) for _ in range(rng.randrange(40))} or {1}
+        off = sum((int(x) ^ int(y)).bit_count() for x, y in zip(*(J.parities(np.array(sorted(s), np.uint64)).view(np.uint64) for s in (a, b))))
+        assert off <= len(a ^ b)
+
+
+def test_a_passage_shared_by_unlike_texts(spark, monkeypatch):
+    monkeypatch.setattr(J, "SHORT_LIST", 8)
+    rng = random.Random(12)
+    shared = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{shared} {' '.join(f'u{rng.randrange(10**6)}' for _ in range(rng.randrange(5, 25)))}" for _ in range(300)]
+    rows = list(enumerate(texts))
+    assert found(J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 502), (502, 500), (7, 7)] + [(1000, 1000 + i) for i in range(1, 60)]
     labels = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
