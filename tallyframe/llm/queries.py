@@ -14,7 +14,7 @@ from tallyframe.llm import (conversation_repair, exact_dedup, fingerprints, jacc
 Run = Callable[[SparkSession, str], DataFrame]
 
 # Where the public vocabularies are; another copy of the files can be named here.
-RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+VOCABULARY, RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.harmonic_pack(documents(spark, sf_dir), RANKS, PATTERN)
+    return packing.harmonic_pack(documents(spark, sf_dir), VOCABULARY, RANKS, PATTERN)
 
 
 def op3_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
