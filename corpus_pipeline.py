@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.llm import exact_dedup, jaccard_join, language_id, mixing, packing
-from tallyframe.llm.queries import PATTERN, RANKS
+from tallyframe.llm.queries import PATTERN, RANKS, VOCABULARY
 from tallyframe.llm.shared import written
 
 
@@ -31,7 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 tokens."""
-    return packing.harmonic_pack(docs, RANKS, PATTERN)
+    return packing.harmonic_pack(docs, VOCABULARY, RANKS, PATTERN)
 
 
 STAGES = [("language", language), ("exact_copies", exact_copies), ("near_copies", near_copies), ("mix_sources", mix_sources), ("pack", pack)]
