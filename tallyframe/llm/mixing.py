@@ -14,16 +14,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.shared import null_safe_key, picked, written
+from tallyframe.llm.shared import free_name, null_safe_key, picked, written
 
 WORD = r"[^\x20\x09-\x0D]+"
+BAND = 64
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", salts: int = 32) -> DataFrame:
     """doc_id, rid, source, size in words, and a salt that splits documents of one source and size. Written: texts are read once."""
     rows = picked(docs, doc_id=id_col, text=text_col, source=source_col).select("doc_id", F.monotonically_increasing_id().alias("rid"), "source", F.xxhash64("text").alias("th"),
                                                                                F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    return written(rows.withColumn("key", null_safe_key("source")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "rid"), F.lit(salts)).cast("int")), "sizes")
+    return written(rows.withColumn("key", null_safe_key("source")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "th"), F.lit(salts)).cast("int")), "sizes")
 
 
 def targets(by_size: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -73,6 +74,8 @@ def multipliers(by_size: DataFrame, wanted: DataFrame, most: float = 2.0, near:
         if (now.agg(F.max("off")).first()[0] or 0.0) <= near:
             break
         now = now.drop("off")
+    else:
+        raise RuntimeError(f"a source did not come near its target in {most_steps} steps")
     return now.drop("off", "low", "high")
 
 
@@ -80,9 +83,14 @@ def extra_copies(by_size: DataFrame, solved: DataFrame, most: float = 2.0, start
     """For every source, size and salt: the whole part of the rate, and how many of its documents get one more copy."""
     rated = by_size.where("size > 0").join(solved, "key").withColumn("rate", tilt(most)).withColumn("whole", F.floor(F.col("rate") + 1e-9)).withColumn(
         "part", F.greatest(F.lit(0.0), F.col("rate") - F.col("whole")) * F.col("n"))
-    order = Window.partitionBy("key").orderBy(F.desc("size"), "salt")
-    summed = rated.withColumn("upto", F.sum("part").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    summed = summed.withColumn("before", F.coalesce(F.lag("upto").over(order), F.lit(0.0)))
+    # In two steps, so that a source of many sizes is not one task: sizes in bands, running sums inside a band, and sums of whole bands before it.
+    # Parts are whole billionths: then sums do not depend on how they are grouped.
+    rated = rated.withColumn("part", F.round(F.col("part") * 1e9).cast("decimal(38,0)")).withColumn("band", F.floor(F.col("size") / BAND))
+    inside = Window.partitionBy("key", "band").orderBy(F.desc("size"), "salt").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy("key").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
+    bands = rated.groupBy("key", "band").agg(F.sum("part").alias("in_band")).select("key", "band", F.coalesce(F.sum("in_band").over(ahead), F.lit(0)).alias("ahead"))
+    summed = rated.withColumn("inside", F.sum("part").over(inside)).join(bands, ["key", "band"])
+    summed = summed.withColumn("upto", (F.col("ahead") + F.col("inside")).cast("double") / 1e9).withColumn("before", (F.col("ahead") + F.col("inside") - F.col("part")).cast("double") / 1e9)
 
     def given(start) -> Column:
         return F.least(F.col("n"), F.floor(F.col("upto") + start) - F.floor(F.col("before") + start))
@@ -97,13 +105,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
     Result, one row per document: doc_id, rid, key (of the source), th (hash of the text), size, source_size, target, copies, taken (copies times size). Null text has no words; null
     is a source of its own; documents without words get no copy; repeated rows are documents of their own; an empty table gives an empty
-    result. Which documents of equal source and size get a copy more is decided by a hash of doc_id, so that reruns agree.
+    result. Which documents of equal source and size get a copy more is decided by hashes of doc_id and text, so that reruns agree under any partitioning;
+    only rows equal in both may change places.
     """
     rows = sizes(docs, id_col, text_col, source_col)
     by_size = written(rows.groupBy("key", "source", "size", "salt").agg(F.count("*").alias("n")), "by-size")
     solved = multipliers(by_size, targets(by_size, weights, share, most), most)
     extra = extra_copies(by_size, solved, most)
-    place = F.row_number().over(Window.partitionBy("key", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "rid"))
+    place = F.row_number().over(Window.partitionBy("key", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "th", "rid"))
     counted = rows.where("size > 0").withColumn("place", place).join(extra, ["key", "size", "salt"]).select("doc_id", "rid", "key", "th", "size", (F.col("whole") + (F.col("place") <= F.col("extra")).cast("long")).alias("copies"))
     everything = counted.unionByName(rows.where("size = 0").select("doc_id", "rid", "key", "th", "size", F.lit(0).cast("long").alias("copies")))
     return everything.join(solved.select("key", "source_size", "target"), "key").select("doc_id", "rid", "key", "th", "size", "source_size", "target", "copies",
@@ -111,13 +120,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of ``docs``, with all their columns, each as often as the mix takes it. The copies of rows equal in identifier, text and source are added up."""
+    """The rows of ``docs``, with all their columns, whatever their names, each as often as the mix takes it. The copies of rows equal in identifier, text and
+    source are added up; null text has no words and is never taken; an empty table stays empty."""
     def key(identifier, text_hash, source):
         return F.concat_ws(":", F.coalesce(identifier.cast("string"), F.lit("-")), F.coalesce(text_hash.cast("string"), F.lit("-")), source)
 
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).where("copies > 0")
-    copies = taken.groupBy(key(F.col("doc_id"), F.col("th"), F.col("key")).alias("_row")).agg(F.sum("copies").alias("_copies"))
+    row, copy, times = (free_name(docs.columns, n) for n in ("row_key", "copy_number", "copy_count"))
+    copies = taken.groupBy(key(F.col("doc_id"), F.col("th"), F.col("key")).alias(row)).agg(F.sum("copies").alias(times))
     source = F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`")), F.lit("-"))
-    marked = docs.withColumn("_row", key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`")), source)).dropDuplicates(["_row"])
+    marked = docs.withColumn(row, key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`")), source)).dropDuplicates([row])
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return marked.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*names)
+    return marked.join(copies, row).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*names)

@@ -46,6 +46,12 @@ def test_every_document(spark, data):
     assert sorted(map(tuple, found)) == sorted(map(tuple, op4_entropy_mixing(spark, data).collect()))
 
 
+def test_the_partitioning_changes_nothing(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    answers = [sorted(map(tuple, M.mix(df).select("doc_id", "size", "target", "copies").collect())) for df in (docs.coalesce(1), docs.repartition(7), docs.repartition(3, "text"))]
+    assert answers[0] == answers[1] == answers[2]
+
+
 def test_odd_tables(spark):
     rows = [(i, "w " * (i % 17), ["b", "a", None, "é", "Z", "empty"][i % 6]) for i in range(600)] + [(1000, None, "a"), (1001, "", "only empty"), (1002, "x " * 100_000, "long"), (1003, None, None)]
     rows = [(i, None if s == "empty" else t, s) for i, t, s in rows]
