@@ -150,9 +150,10 @@ class Automaton:
 
     def matches(self, words: list[bytes], line: bytes) -> tuple[list[tuple[int, int]], float]:
         """All matches as (start, end), and the largest share passed; ``line`` is the words with single spaces, at both ends too."""
-        found, best, behind, pos = [], 0.0, 0, line.find(self.anchor)
+        found, best, behind, counted, at, pos = [], 0.0, 0, 0, 0, line.find(self.anchor)
         while pos >= 0:
-            at = line.count(b" ", 0, pos)
+            at += line.count(b" ", counted, pos)
+            counted = pos
             for start in range(max(behind, at - self.lead), at + 1):
                 end, share = self.longest(words, start)
                 best = max(best, share)

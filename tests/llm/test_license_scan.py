@@ -97,3 +97,19 @@ def test_method_adds_labels(spark):
     assert found[1]["base_labels"] == "" and 0 < found[3]["score"] < 1
     with pytest.raises(ValueError):
         L.Automaton("x", "<<beginOptional>>never<<endOptional>>")
+
+
+def test_a_long_text_of_anchors_takes_linear_time():
+    """Twice the text, about twice the time: anchors are counted on from one another."""
+    import time
+    automaton = next(a for a in (L.Automaton(label, text) for label, text in L.TEMPLATES) if a.anchor)
+
+    def seconds(times):
+        line = automaton.anchor * times + b" "
+        words, start = line.split(), time.process_time()
+        automaton.matches(words, line)
+        return time.process_time() - start
+
+    size = len(automaton.anchor)
+    seconds(1000)
+    assert seconds(2_000_000 // size) < 6 * max(0.2, seconds(500_000 // size))
