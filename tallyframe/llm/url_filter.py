@@ -25,13 +25,14 @@ def path_of(url: Column) -> Column:
 def intervals(events: DataFrame) -> DataFrame:
     """(list, kind, pattern, valid_from, valid_until) from (list, kind, pattern, action, at).
 
-    An addition is valid until the next event of its list and pattern, or without end (null). Of events at one time an addition wins,
+    Patterns are compared in lower case. An addition is valid until the next event of its list and pattern, or without end (null). Of events at one time an addition wins,
     and of additions the kind that comes first by name. Events without pattern, action or time are ignored.
     """
-    known = events.where("pattern is not null and at is not null and action in ('add', 'remove')").groupBy("list", "pattern", "at").agg(F.min(F.struct("action", "kind")).alias("e"))
+    cased = events.withColumn("pattern", F.lower("pattern"))
+    known = cased.where("pattern is not null and at is not null and action in ('add', 'remove')").groupBy("list", "pattern", "at").agg(F.min(F.struct("action", "kind")).alias("e"))
     order = Window.partitionBy("list", "pattern").orderBy("at")
     return (known.withColumn("valid_until", F.lead("at").over(order)).where("e.action = 'add'")
-            .select("list", F.col("e.kind").alias("kind"), F.lower("pattern").alias("pattern"), F.col("at").alias("valid_from"), "valid_until"))
+            .select("list", F.col("e.kind").alias("kind"), "pattern", F.col("at").alias("valid_from"), "valid_until"))
 
 
 def patterns(host: Column, path: Column, depth: int) -> Column:
