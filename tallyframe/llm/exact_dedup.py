@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.shared import picked, written
+from tallyframe.llm.shared import free_name, picked, written
 
 ENTRY = ["digest", "n_bytes", "witness"]
 
@@ -59,13 +59,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; a row repeated with its identifier and text stays once.
+    """The rows of ``docs`` that stay, with all their columns, whatever their names; a row repeated with its identifier and text stays once. Null text counts
+    as empty, a null identifier as the smallest; an empty table stays empty.
 
     The texts are shuffled once: the semi-join and the removal of repeated rows share one key.
     """
     def key(identifier, digest):
         return F.concat(F.coalesce(F.col(identifier).cast("string"), F.lit("-")), F.lit(":"), digest)
 
-    stay = exact_dedup(docs, id_col, text_col, **options).where("kept").select(key("doc_id", F.col("text_sha256")).alias("_row"))
-    marked = docs.withColumn("_row", key(f"`{id_col}`", F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)))
-    return marked.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = free_name(docs.columns, "row_key")
+    stay = exact_dedup(docs, id_col, text_col, **options).where("kept").select(key("doc_id", F.col("text_sha256")).alias(row))
+    marked = docs.withColumn(row, key(f"`{id_col}`", F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)))
+    return marked.join(stay, row, "left_semi").dropDuplicates([row]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -50,3 +50,12 @@ def test_empty_documents(spark, tmp_path):
     for name, stage in C.STAGES:
         docs = C.written(stage(spark, docs, FOLDER), name)
         assert docs.count() == 0
+
+
+def test_columns_of_any_name_survive(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    named = docs.selectExpr("*", "doc_id + 1 as row_key", "doc_id + 2 as Row_Key_", "doc_id + 3 as copy_number", "doc_id + 4 as copy_count", "doc_id + 5 as _row", "doc_id + 6 as file")
+    for name, stage in C.STAGES[1:4]:
+        kept = stage(spark, named, FOLDER)
+        assert kept.columns == named.columns
+        assert kept.where("row_key <> doc_id + 1 or Row_Key_ <> doc_id + 2 or copy_number <> doc_id + 3 or copy_count <> doc_id + 4 or _row <> doc_id + 5").isEmpty(), name
