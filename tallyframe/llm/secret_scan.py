@@ -23,10 +23,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("passw", "secret", "token", "apikey", "api_key")
 
-# Weak parts.
-IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9])(?:A(?:SIA|IDA|ROA|GPA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?:client_id|access_key_id|username|login)["']?\x20{0,8}[:=]\x20{0,8}["']?[A-Za-z0-9_.@-]{3,64})""", re.A)
-SECRET = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/=_-])", re.A)
-ENDPOINT = re.compile(r"(?<![A-Za-z0-9])(?:(?:https?|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[^\s\"'<>]{4,2000}|[a-z0-9.-]{1,200}\.amazonaws\.com)", re.A)
+# Weak parts, of any length; a host name has at most 253 characters.
+IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9])(?:A(?:SIA|IDA|ROA|GPA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?:client_id|access_key_id|username|login)["']?\x20{0,8}[:=]\x20{0,8}["']?[A-Za-z0-9_.@-]{3,})""", re.A)
+SECRET = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/=_-])", re.A)
+ENDPOINT = re.compile(r"(?<![A-Za-z0-9])(?:(?:https?|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[^\s\"'<>]{4,}|[a-z0-9.-]{1,239}\.amazonaws\.com)", re.A)
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 # Which parts complement a weak part. Of the strong ones an access id is an identifier, an assignment and a hexadecimal key are secrets.

@@ -51,6 +51,13 @@ def test_weak_parts_need_a_complement(spark):
     assert found == {1: [], 2: ["identifier", "secret"], 3: [], 4: [], 5: [], 6: [], 7: ["endpoint", "secret"], 8: ["access", "secret"], 9: ["identifier", "secret", "endpoint"]}
 
 
+def test_long_weak_parts_are_seen_whole(spark):
+    name, key, place = "client_id = " + "z" * 300, "aB3" * 500, "https://" + "x" * 9000
+    texts = {1: f"{name} {key}", 2: f"{place} {key}", 3: f"{name} {'aB3_' * 500_000}====", 4: "aB3" * 1_000_000}
+    found = {r["doc_id"]: r["spans"] for r in S.secret_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert found == {1: f"identifier:0:{len(name)},secret:{len(name) + 1}:{len(texts[1])}", 2: f"endpoint:0:{len(place)},secret:{len(place) + 1}:{len(texts[2])}", 3: "", 4: ""}
+
+
 def test_linking_matches_all_pairs():
     import random
     rng = random.Random(4)
