@@ -100,7 +100,8 @@ def join_payload(t, p):
     rows = []
     for size in p.sizes:
         keyed = ids(t, "mid").select("id", F.rpad(F.col("id").cast("string"), size, "*").alias("data"))
-        both = keyed.alias("a").join(keyed.alias("b"), F.col("a.id") == F.col("b.id"))
+        # Planned from the sizes of keys, a side passes for small and would be broadcast with all its data: sorted and merged instead, at any size.
+        both = keyed.alias("a").join(keyed.alias("b").hint("merge"), F.col("a.id") == F.col("b.id"))
         # The digest needs every byte of both sides behind the join.
         rows.append(both.agg(F.count("*").alias("rows"), F.sum(F.length("a.data") + F.length("b.data")).alias("bytes"), F.min(F.md5(F.concat("a.data", "b.data"))).alias("digest")).select(F.lit(size).alias("size"), "rows", "bytes", "digest"))
     return _all(rows)
