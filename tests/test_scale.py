@@ -18,3 +18,11 @@ def test_payload_sides_are_not_broadcast(spark):
     text = plan(found)
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert {(r.size, r.rows, r.bytes) for r in found.collect()} == {(1, 50, 100), (8, 50, 800)}
+
+
+def test_split_leaves_rows_to_learn_from(spark):
+    train, test = S.ratings(spark.range(2000), 6, 5, seed=1), S.ratings(spark.range(2000), 6, 5, seed=2)
+    assert train.count() == test.count() == 30
+    kept, final = S.ratings_split(train, test)
+    assert kept.count() > final.count() > 0 and kept.join(final, ["user", "item"]).count() == 0
+    assert S.ratings_split(train.limit(0), test)[1].count() == 0
