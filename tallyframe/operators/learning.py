@@ -22,6 +22,8 @@ from tallyframe.functions.apply import vector_slices
 from tallyframe.operators import generators as S
 
 SEED = 42
+# Word2Vec trains a partition in one task and averages the partitions: so many texts at most in each.
+ROWS_A_TASK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -118,7 +120,7 @@ STAGES: dict[str, Stage] = {
     "tokenizer": Stage(lambda ids, seed, p: S.docs(ids, p["vocabulary"], p["length"], seed), lambda p: X.Tokenizer(inputCol="text", outputCol="out"), None, {"vocabulary": 1000, "length": 20}),
     "vector_assembler": Stage(_slices, lambda p: X.VectorAssembler(inputCols=[f"part{i}" for i in range(p["pieces"])], outputCol="out"), None, {"features": 12, "pieces": 4}),
     "vector_slicer": Stage(_continuous, lambda p: X.VectorSlicer(inputCol="features", outputCol="out", indices=list(range(0, p["features"], 2))), None, {"features": 12}),
-    "word2vec": Stage(_words, lambda p: X.Word2Vec(vectorSize=p["size"], seed=SEED, inputCol="words", outputCol="out", minCount=0), None, {"vocabulary": 100, "length": 10, "size": 8}),
+    "word2vec": Stage(_words, lambda p: X.Word2Vec(vectorSize=p["size"], seed=SEED, inputCol="words", outputCol="out", minCount=0, numPartitions=1 + p.get("rows", 0) // ROWS_A_TASK), None, {"vocabulary": 100, "length": 10, "size": 8}),
     "fpgrowth": Stage(lambda ids, seed, p: S.item_sets(ids, p["items"], p["size"], seed), lambda p: FPGrowth(itemsCol="items"), None, {"items": 30, "size": 4}),
     "als": Stage(lambda ids, seed, p: S.ratings(ids, p["users"], p["items"], False, seed), lambda p: ALS(seed=SEED, regParam=p["reg"], rank=p["rank"], maxIter=p["iterations"], numUserBlocks=p["blocks"], numItemBlocks=p["blocks"], coldStartStrategy="drop"),
                  lambda: RegressionEvaluator(metricName="rmse", labelCol="rating"), {"users": 200, "items": 100, "reg": 0.1, "rank": 5, "iterations": 3, "blocks": 4}, S.ratings_split),
@@ -159,7 +161,7 @@ def run_stage(name: str, train_ids: DataFrame, test_ids: DataFrame, **changes) -
     train, test = train.persist(StorageLevel.MEMORY_AND_DISK), test.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = [("train.rows", float(train.count()), True), ("test.rows", float(test.count()), True)]
-        model = fitted(name, train, p)
+        model = fitted(name, train, {**p, "rows": int(rows[0][1])})
         if STAGES[name].score:
             evaluator = STAGES[name].score()
             for which, df in (("train", train), ("test", test)):
