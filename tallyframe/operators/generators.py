@@ -163,25 +163,36 @@ def _poisson_steps(mean: float, low: int, high: int) -> tuple[int, list[float]]:
 
 
 def poisson(mean: float, low: int, high: int, u: Column) -> Column:
-    """Poisson in [low, high] by the inverse of its distribution."""
+    """Poisson in [low, high] for each of an array of uniform numbers, by the inverse of its distribution: a search by halves in the table of its steps."""
     first, steps = _poisson_steps(mean, low, high)
-    return F.size(F.filter(_literals(steps[:-1]), lambda s: s < u)) + first
+
+    def place(a: int, b: int, drawn: Column) -> Column:
+        if a == b:
+            return F.lit(first + a)
+        middle = (a + b) // 2
+        return F.when(F.lit(steps[middle]) < drawn, place(middle + 1, b, drawn)).otherwise(place(a, middle, drawn))
+
+    return F.transform(u, lambda drawn: place(0, len(steps) - 1, drawn))
 
 
 def docs(ids: DataFrame, vocabulary: int, mean_length: int, seed: int = 42, longest: int = 65535) -> DataFrame:
     """Documents of word numbers with a leading space; Poisson lengths in (0, longest]."""
-    length = poisson(mean_length, 1, longest, uniform(seed, -1))
+    length = poisson(mean_length, 1, longest, F.array(uniform(seed, -1)))[0]
     words = F.transform(F.sequence(F.lit(1), F.col("length")), lambda j: F.concat(F.lit(" "), below(vocabulary, seed, j).cast("string")))
     return ids.withColumn("length", length).select("id", F.array_join(words, "").alias("text"))
 
 
 def item_sets(ids: DataFrame, items: int, mean_size: int, seed: int = 42) -> DataFrame:
     """Poisson-sized sets of Poisson items around items / 2, each set with two items that follow from its first ones."""
-    size = poisson(mean_size, 1, items, uniform(seed, -1))
-    draws = F.transform(F.sequence(F.lit(0), F.col("size") * 6 + 20), lambda j: poisson(items / 2, 0, items - 1, uniform(seed, j)))
-    # Numbers never drawn stand behind the drawn ones, so that a set is full even when draws repeat.
-    picked = F.slice(F.array_union(draws, _positions(items)), 1, F.col("size"))
-    sets = ids.withColumn("size", size).withColumn("picked", picked)
+    size = poisson(mean_size, 1, items, F.array(uniform(seed, -1)))[0]
+
+    def draws(last: Column) -> Column:
+        return poisson(items / 2, 0, items - 1, F.transform(F.sequence(F.lit(0), last), lambda j: uniform(seed, j)))
+
+    sets = ids.withColumn("size", size).withColumn("first", F.array_distinct(draws(F.col("size") * 2 + 4)))
+    # Where the first draws are too few numbers, more are drawn; numbers never drawn stand behind the drawn ones, so that a set is full even when draws repeat.
+    more = F.array_union(draws(F.col("size") * 6 + 20), _positions(items))
+    sets = sets.withColumn("picked", F.slice(F.when(F.size("first") >= F.col("size"), F.col("first")).otherwise(more), 1, F.col("size")))
     sets = sets.withColumn("picked", F.array_union("picked", F.array((F.col("picked")[0] + items // 2) % items)))
     sets = sets.withColumn("picked", F.when(F.size("picked") >= 2, F.array_union("picked", F.array((F.col("picked")[0] + F.get("picked", F.lit(1))) % items))).otherwise(F.col("picked")))
     return sets.select("id", F.transform("picked", lambda v: v.cast("string")).alias("items"))
