@@ -138,3 +138,14 @@ def test_gradients_match_differences():
             near.append(net.gradients(inputs, targets, counts)[0])
             w[at] -= off
         assert slopes[name][at] == pytest.approx((near[0] - near[1]) / 2e-4, rel=1e-2, abs=1e-5)
+
+
+def test_query_takes_every_window(spark, monkeypatch, tmp_path):
+    """Every id of every training text is a target once in the passes of the query."""
+    rows = [(i, f"alpha beta w{i} " * (i % 30)) for i in range(90)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    taken, fit = [], M.trained
+    monkeypatch.setattr(M, "trained", lambda training, subwords, every: taken.append(every) or fit(training, subwords, every))
+    assert op7_attention_lm(spark, str(tmp_path)).count() == 90 and taken == [1]
+    windows = M.Windows([np.arange(1, n + 1).astype(np.uint16) for n in (1, 40, 700)], M.WINDOW)
+    assert windows.some(np.arange(len(windows.row)))[2].sum() == 741
