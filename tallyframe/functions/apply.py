@@ -49,18 +49,22 @@ def group_apply_merged(df: DataFrame, keys: list[str], partial: Callable[[pd.Dat
     ``partial`` turns a batch of rows, many groups at once, into one row of ``partial_schema`` per group. ``merge`` folds such
     rows, again to one per group: with ``False`` in the partial schema, with ``True`` in the final one. Partitions are reduced
     before the shuffle, so that a hot key crosses it as a few rows per task; afterwards the sorted rows stream through, and
-    only the group at the end of a batch is carried on. No task holds a whole group.
+    only the group at the end of a batch is carried on. No task holds a whole group. What a task holds is folded when it has
+    doubled since the last time, so that the folding grows with the rows, however many groups there are.
     """
     def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held, n, folded = [], 0, 0
         for batch in batches:
-            rows = partial(batch)
-            held = rows if held is None else merge(pd.concat([held, rows], ignore_index=True), False)
-            if len(held) > most_rows:
-                yield held
-                held = None
-        if held is not None:
-            yield held
+            held.append(partial(batch))
+            n += len(held[-1])
+            if len(held) > 1 and n > 2 * folded + min(10_000, most_rows):
+                held = [merge(pd.concat(held, ignore_index=True), False)]
+                n = folded = len(held[0])
+            if n > most_rows and len(held) == 1:
+                yield held[0]
+                held, n, folded = [], 0, 0
+        if held:
+            yield held[0] if len(held) == 1 else merge(pd.concat(held, ignore_index=True), False)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carried = None
