@@ -136,8 +136,8 @@ def column_statistics(df: DataFrame) -> DataFrame:
 
 
 def write_runs(runs: DataFrame, folder: str) -> None:
-    """Append runs as JSON under ``timestamp=<ms>`` folders."""
-    runs.write.mode("append").partitionBy("timestamp").json(folder)
+    """Append runs as JSON under ``timestamp=<ms>`` folders, the runs of a folder brought together first: a file for each, not one for each task that has some."""
+    runs.hint("rebalance", "timestamp").write.mode("append").partitionBy("timestamp").json(folder)
 
 
 def read_runs(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from tallyframe.functions import apply as A
 from tallyframe.operators import generators as S
 from tallyframe.operators import learning as M
 from tallyframe.plans import micro
+from tallyframe.sources import layout as L
 
 
 def plan(df):
@@ -84,3 +85,10 @@ def test_merging_grows_with_the_rows():
     batches = [pd.DataFrame({"key": [(i * 1000 + j) % 30_000 for j in range(1000)], "n": 1}) for i in range(300)]
     out = pd.concat(list(frames[0](iter(batches))))
     assert out.n.sum() == 300_000 and len(out) == 30_000 and sum(merged) <= 4 * 300_000
+
+
+def test_runs_of_a_folder_become_one_file(spark, tmp_path):
+    runs = spark.range(0, 400, 1, 8).select((F.col("id") % 5).alias("timestamp"), F.col("id").cast("int").alias("iteration"))
+    L.write_runs(runs, f"{tmp_path}/runs")
+    assert sum(1 for _ in tmp_path.glob("runs/timestamp=*/*.json")) == 5
+    assert L.read_runs(spark, f"{tmp_path}/runs").agg(F.sum("iteration")).first()[0] == sum(range(400))
