@@ -43,7 +43,7 @@ def recovered(t, p):
     folder, table = stored.scratch(t.spark, "recover") + "/inventory", f"{store.database}.inventory_{uuid.uuid4().hex[:8]}"
     S.write_table(t.inventory.where(f"inv_date_sk <= {p.until}"), folder, partition_by=["inv_date_sk"])
     S.external_table(t.spark, table, folder, partitioned=True)
-    t.inventory.where(f"inv_date_sk > {p.until}").write.mode("append").partitionBy("inv_date_sk").parquet(folder)
+    S.append_table(t.inventory.where(f"inv_date_sk > {p.until}"), folder, ["inv_date_sk"])
 
     def days(state):
         return t.spark.table(table).groupBy("inv_date_sk").agg(F.count("*").alias("rows"), total("inv_quantity_on_hand", "on_hand")).select(F.lit(state).alias("state"), "*")

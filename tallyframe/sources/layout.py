@@ -65,6 +65,11 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet", partitio
     (writer.partitionBy(*keys) if keys else writer).save(path)
 
 
+def append_table(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Add rows to a partitioned table, clustered as ``write_table`` does it: a task sorts a share of the rows for its folders, not all that it has read."""
+    df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
 def chosen_tables(suite: str, only: str | None = None) -> list[str]:
     """All tables of a suite, or the one asked for; an unknown name is an error."""
     names = list(SUITES[suite])

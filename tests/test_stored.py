@@ -10,6 +10,7 @@ from tallyframe.plans import stored as P
 from tallyframe.plans.library import query
 from tallyframe.plans.tpcds.part1 import kinds_by_channel
 from tallyframe.plans.tpcds.part2 import q24
+from tallyframe.sources import layout as S
 from tallyframe.sources import stored
 from tallyframe.sources.catalog import Catalog
 
@@ -214,3 +215,16 @@ def test_group_function_with_keys_of_several_types(spark):
     found = A.group_apply_merged(df, ["k", "s"], partial, "k long, s string, n long", merged, "k long, s string, n long").collect()
     assert sorted((r.k, r.s or "", r.n) for r in found) == sorted((r.k, r.s or "", r["count"]) for r in df.groupBy("k", "s").count().collect())
 
+
+
+def test_stock_counts_are_made_by_all_tasks(spark, data, retail):
+    assert retail.inventory.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_appended_rows_are_brought_together(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id", "id % 5 AS day")
+    S.write_table(rows.where("day < 3"), str(tmp_path / "t"), partition_by=["day"])
+    S.append_table(rows.where("day >= 3"), str(tmp_path / "t"), ["day"])
+    files = {f.name: len(list(f.glob("*.parquet"))) for f in (tmp_path / "t").glob("day=*")}
+    assert files == {f"day={d}": 1 for d in range(5)}
+    assert spark.read.parquet(str(tmp_path / "t")).groupBy("day").count().where("count = 800").count() == 5
