@@ -36,6 +36,7 @@ class Catalog:
     def __init__(self, spark: SparkSession, folder: str, suite: str = "given"):
         self.spark, self.folder, self.suite = spark, folder.rstrip("/"), suite
         self._frames: dict[str, DataFrame] = {}
+        self._others: set[str] = set()
 
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -61,9 +62,16 @@ class Catalog:
     def replaced(self, **frames: DataFrame) -> Catalog:
         """The same tables with some of them read from elsewhere."""
         view = Catalog(self.spark, self.folder, self.suite)
-        view._frames = {**self._frames, **frames}
+        view._frames, view._others = {**self._frames, **frames}, self._others | set(frames)
         return view
 
+    def clustered(self, name: str) -> DataFrame | None:
+        """A sales fact with the rows of a day brought together before its columns are derived, so that few and narrow columns are shuffled; None for any other table."""
+        if self.suite != "tpcds" or name not in tpcds_tables.SALES or name in self._others:
+            return None
+        lines = self.given("lineitem").where(f"l_linenumber % 3 = {tpcds_tables.SALES[name]}").selectExpr(*tpcds_tables.LINE, f"{tpcds_tables.SOLD_DAY} AS sold_day")
+        return self.spark.sql(_spelled(SUITES[self.suite][name], _SPARK_WORDS), lineitem=lines.hint("rebalance", "sold_day"))
+
     def pruned(self, name: str, key: str, low: int, high: int) -> Catalog:
         """The same tables with one of them limited to a range of its partition key."""
         return self.replaced(**{name: self.table(name).where(f"{key} between {low} and {high}")})

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.sources.catalog import Catalog
-from tallyframe.sources.layout import PARTITIONS, analyze_table, external_table, write_table
+from tallyframe.sources.layout import PARTITIONS, analyze_table, external_table, write_from
 
 
 _SCRATCH: dict[str, list[str]] = {}
@@ -101,7 +101,7 @@ class Store:
         full = f"{self.database}.{name}"
         if not self.spark.catalog.tableExists(full):
             if not is_complete(self.spark, self.path(name)):
-                write_table(self.catalog.table(table), self.path(name), partition_by=keys)
+                write_from(self.catalog, table, self.path(name), keys)
             external_table(self.spark, full, self.path(name), partitioned=bool(keys))
         return full
 

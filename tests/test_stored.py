@@ -228,3 +228,11 @@ def test_appended_rows_are_brought_together(spark, tmp_path):
     files = {f.name: len(list(f.glob("*.parquet"))) for f in (tmp_path / "t").glob("day=*")}
     assert files == {f"day={d}": 1 for d in range(5)}
     assert spark.read.parquet(str(tmp_path / "t")).groupBy("day").count().where("count = 800").count() == 5
+
+
+def test_sales_are_clustered_before_their_columns_are_made(retail):
+    for name in ("store_sales", "catalog_sales", "web_sales"):
+        narrow, whole = retail.clustered(name), retail.table(name)
+        assert re.search(r"RebalancePartitions \[sold_day#", plan(narrow)) and narrow.columns == whole.columns
+        assert narrow.exceptAll(whole).isEmpty() and whole.exceptAll(narrow).isEmpty()
+    assert retail.clustered("inventory") is None and retail.replaced(store_sales=retail.store_sales).clustered("store_sales") is None
