@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.apply import vector_slices
 from tallyframe.operators import generators as S
+from tallyframe.operators.topics import TopicsByEM
 
 SEED = 42
 # Word2Vec trains a partition in one task and averages the partitions: so many texts at most in each.
@@ -99,6 +100,11 @@ def _non_empty_sets(ids, seed, p):
     return rows.select("id", S.array_to_vector(F.transform(vector_to_array("features"), lambda v, j: F.when(j == 0, 1.0).otherwise(v))).alias("features"))
 
 
+def _topics(p):
+    # MLlib's EM has a graph edge and two messages for each text and term; the same steps here are passes over the texts.
+    return TopicsByEM(p["k"], p["iterations"], SEED) if p["optimizer"] == "em" else K.LDA(k=p["k"], seed=SEED, maxIter=p["iterations"], optimizer=p["optimizer"])
+
+
 STAGES: dict[str, Stage] = {
     "tree_class": Stage(_tree(True), lambda p: C.DecisionTreeClassifier(maxDepth=p["depth"], seed=SEED), _multiclass, {"features": 12, "depth": 3, "classes": 4}),
     "gbt_class": Stage(_tree(True, 1), lambda p: C.GBTClassifier(maxDepth=p["depth"], maxIter=p["iterations"], seed=SEED), _multiclass, {"features": 12, "depth": 2, "classes": 2, "iterations": 5}),
@@ -108,7 +114,7 @@ STAGES: dict[str, Stage] = {
     "nb": Stage(_naive_bayes, lambda p: C.NaiveBayes(smoothing=p["smoothing"]), _multiclass, {"features": 10, "classes": 5, "smoothing": 1.0}),
     "gmm": Stage(_mixture, lambda p: K.GaussianMixture(k=p["k"], seed=SEED, maxIter=p["iterations"], tol=p["tol"]), None, {"features": 5, "k": 3, "iterations": 5, "tol": 0.01}),
     "kmeans": Stage(_mixture, lambda p: K.KMeans(k=p["k"], seed=SEED, maxIter=p["iterations"], tol=p["tol"]), None, {"features": 5, "k": 5, "iterations": 10, "tol": 1e-4}),
-    "lda": Stage(lambda ids, seed, p: S.bag_of_words(ids, p["vocabulary"], p["length"], seed), lambda p: K.LDA(k=p["k"], seed=SEED, maxIter=p["iterations"], optimizer=p["optimizer"]), None,
+    "lda": Stage(lambda ids, seed, p: S.bag_of_words(ids, p["vocabulary"], p["length"], seed), _topics, None,
                  {"vocabulary": 100, "length": 20, "k": 4, "iterations": 5, "optimizer": "online"}),
     "lsh_projection": Stage(_continuous, lambda p: X.BucketedRandomProjectionLSH(inputCol="features", outputCol="out", numHashTables=p["tables"], bucketLength=p["bucket"], seed=SEED), None, {"features": 10, "tables": 2, "bucket": 0.5}),
     "lsh_minhash": Stage(_non_empty_sets, lambda p: X.MinHashLSH(inputCol="features", outputCol="out", numHashTables=p["tables"], seed=SEED), None, {"features": 20, "tables": 2}),
