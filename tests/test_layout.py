@@ -1,4 +1,5 @@
 import glob
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +71,11 @@ def test_plans_push_down_and_prune(spark, data):
     for key in ("tpch.q11", "tpcds.q14a", "tpcds.q77", "tpcds.q41", "tpcds.q10"):
         text = plan(query(key).run(spark, data))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, key
+
+
+def test_plans_show_whole_filters(spark, tmp_path):
+    """Filters beyond Spark's 100 letters, as those of written.impala.q7 once column numbers have six digits."""
+    day = "day_" * 15
+    spark.range(4).withColumn(day, F.col("id")).write.partitionBy(day).parquet(f"{tmp_path}/days")
+    shown = plan(spark.read.parquet(f"{tmp_path}/days").where(f"{day} >= 1 AND {day} <= 2"))
+    assert re.search(rf"PartitionFilters: \[isnotnull\({day}#\d+\), \({day}#\d+ >= 1\), \({day}#\d+ <= 2\)\]", shown)
