@@ -15,12 +15,14 @@ from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator,
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.ml.util import HasTrainingSummary
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions.apply import vector_slices
 from tallyframe.operators import generators as S
 from tallyframe.operators.topics import TopicsByEM
+from tallyframe.sources.stored import scratch
 
 SEED = 42
 # Word2Vec trains a partition in one task and averages the partitions: so many texts at most in each.
@@ -153,9 +155,21 @@ def stage_data(name: str, train_ids: DataFrame, test_ids: DataFrame, **changes)
     return train, test, p
 
 
+def without_summary(spark: SparkSession, model: Transformer) -> Transformer:
+    """The model; one of two classes with a summary is written and read again, which leaves the summary behind.
+
+    Such a summary holds the session, so that the session travels to the tasks with the model. It can't once a frame in it has been observed.
+    """
+    if not (isinstance(model, C.ClassificationModel) and isinstance(model, HasTrainingSummary) and model.hasSummary and model.numClasses <= 2):
+        return model
+    folder = scratch(spark, "model")
+    model.write().session(spark).save(folder)
+    return type(model).read().session(spark).load(folder)
+
+
 def fitted(name: str, train: DataFrame, p: dict) -> Transformer:
     stage = STAGES[name].stage(p)
-    return stage.fit(train) if isinstance(stage, Estimator) else stage
+    return without_summary(train.sparkSession, stage.fit(train)) if isinstance(stage, Estimator) else stage
 
 
 def run_stage(name: str, train_ids: DataFrame, test_ids: DataFrame, **changes) -> tuple[Transformer, list[tuple[str, float, bool]]]:

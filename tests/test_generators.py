@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyframe.operators import generators as S
@@ -87,6 +88,18 @@ def test_stages_recover_the_planted_model(spark, name, check):
     assert check(scores["train.score"]) and check(scores["test.score"]) and scores["test.score"] != scores["train.score"]
 
 
+@pytest.mark.parametrize("name,changes", [("logreg", {}), ("svc", {}), ("rf_class", {"classes": 2})])
+def test_two_classes_are_scored_in_a_session_with_an_observed_frame(spark, name, changes):
+    plain, rows = M.run_stage(name, spark.range(300), spark.range(50), **changes)
+    session = spark.newSession()
+    seen = Observation()
+    session.range(3).observe(seen, F.count("*").alias("rows")).collect()
+    assert seen.get == {"rows": 3}
+    model, found = M.run_stage(name, session.range(300), session.range(50), **changes)
+    assert found == rows and model.uid != plain.uid
+    assert {k.name: v for k, v in model.extractParamMap().items()} == {k.name: v for k, v in plain.extractParamMap().items()}
+
+
 def test_extra_methods(spark):
     model, _ = M.run_stage("word2vec", spark.range(300), spark.range(50), vocabulary=20)
     assert M.synonyms(model, None, 3).count() == 3
